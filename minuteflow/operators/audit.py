@@ -45,11 +45,13 @@ def audit_packets(
     hostname: str,
     timestamp_ms: int | Column,
     window_sec: int = DEFAULT_WINDOW_SEC,
+    max_windows: int = 500,
 ) -> DataFrame:
-    """One record per topic with maps window -> received and window -> sent.
+    """Records per topic with maps window -> received and window -> sent.
 
-    The maps are built from window counts, at most one entry per window of the
-    flush period, never from messages. Zero counts take no entry.
+    The maps are built from window counts, never from messages. Zero counts
+    take no entry. A flush period fits one record; a longer run of windows is
+    cut into records of at most ``max_windows``, so no record outgrows a message.
     """
     if "sent" not in counts.columns:
         counts = counts.withColumn("sent", F.lit(0).cast("long"))
@@ -60,7 +62,8 @@ def audit_packets(
         return F.map_from_entries(F.collect_list(entry)).alias(name)
 
     stamp = timestamp_ms if isinstance(timestamp_ms, Column) else F.lit(timestamp_ms)
-    packets = counts.groupBy("topic").agg(as_map("received"), as_map("sent"))
+    span = F.floor(F.col("window_ms") / (window_sec * 1000 * max_windows)).alias("_span")
+    packets = counts.groupBy("topic", span).agg(as_map("received"), as_map("sent"))
     filled = (F.size("received") > 0) | (F.size("sent") > 0)
     return packets.filter(filled).select(
         stamp.cast("long").alias("timestamp"),

@@ -93,7 +93,7 @@ def _open_minutes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def open_minutes(spark: SparkSession, root: str, stream_type: str) -> DataFrame:
     """Topic -> its last minute directory, the only one that still takes files."""
     base = f"{storage.qualify(spark, root)}/{layout.BASE_DIRS[stream_type]}"
-    topics = [(name, f"{base}/{name}") for name in storage.subdirs(base)]
+    topics = [(name, f"{base}/{name}") for name in storage.subdirs(base, True)]
     known = spark.createDataFrame(topics, "topic string, path string")
     return known.mapInArrow(_open_minutes, "topic string, open_minute timestamp").filter(
         F.col("open_minute").isNotNull()
@@ -194,7 +194,7 @@ def _plan(spark, root, stage, stream_type) -> DataFrame:
         prefix, ext = F.concat("collector", F.lit("-"), stem), F.lit(".gz")
     parts = parts.withColumn("target_dir", target_dir).withColumn("prefix", prefix)
     targets = ["target_dir", "prefix"]
-    if storage.subdirs(base):
+    if storage.exists(base):
         used = parts.select(*targets).distinct()
         used = used.mapInArrow(_last_ids, "target_dir string, prefix string, last_id long")
         parts = parts.join(used, targets)
@@ -318,7 +318,7 @@ def publish(
 
 
 def _to_open_minute(spark, root, stream_type, good, topic, when):
-    if not storage.subdirs(f"{root}/{layout.BASE_DIRS[stream_type]}"):
+    if not storage.exists(f"{root}/{layout.BASE_DIRS[stream_type]}"):
         return good, when
     latest = broadcast_if_small(open_minutes(spark, root, stream_type))
     latest = latest.withColumnRenamed("topic", "_open_topic")
@@ -336,7 +336,7 @@ def _no_files(spark) -> DataFrame:
 
 def _with_start(spark, root, stream_type, plan: DataFrame) -> DataFrame:
     """Add ``from_minute``: where the run of minute directories must begin."""
-    if stream_type == "collector" or not storage.subdirs(f"{root}/{layout.BASE_DIRS[stream_type]}"):
+    if stream_type == "collector" or not storage.exists(f"{root}/{layout.BASE_DIRS[stream_type]}"):
         return plan.withColumn("from_minute", F.col("minute"))
     latest = open_minutes(spark, root, stream_type)
     first = F.least(F.col("minute"), F.coalesce("open_minute", "minute"))

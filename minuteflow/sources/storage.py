@@ -36,12 +36,12 @@ def children(path: str, recursive: bool = False) -> list[fs.FileInfo]:
     )
 
 
-def subdirs(path: str) -> list[str]:
-    """Sorted names of visible sub-directories."""
+def subdirs(path: str, all_names: bool = False) -> list[str]:
+    """Sorted names of sub-directories, without hidden ones unless ``all_names``."""
     return sorted(
         e.base_name
         for e in children(path)
-        if e.type == fs.FileType.Directory and not hidden(e.base_name)
+        if e.type == fs.FileType.Directory and (all_names or not hidden(e.base_name))
     )
 
 

@@ -56,9 +56,10 @@ def _now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
+# JSON keys are strings; the windows become numbers again after parsing.
 PACKET_SCHEMA = (
     "timestamp bigint, topic string, tier string, hostname string, window_size int,"
-    " received map<bigint,bigint>, sent map<bigint,bigint>, filenames array<string>,"
+    " received map<string,bigint>, sent map<string,bigint>, filenames array<string>,"
     " tags map<string,string>"
 )
 
@@ -66,7 +67,13 @@ PACKET_SCHEMA = (
 def read_packets(messages: DataFrame) -> DataFrame:
     """Audit packets from the messages of the ``_audit`` topic."""
     packet = F.from_json(F.col("payload").cast("string"), PACKET_SCHEMA)
-    return messages.select(packet.alias("packet")).select("packet.*")
+    packets = messages.select(packet.alias("packet")).select("packet.*")
+    return packets.withColumns(
+        {
+            name: F.transform_keys(name, lambda key, _: key.cast("bigint"))
+            for name in ("received", "sent")
+        }
+    )
 
 
 def windowed_counts(df: DataFrame, delay: str, window_sec: int = 60, ts: str = "ts") -> DataFrame:
