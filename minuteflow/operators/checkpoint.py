@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from minuteflow.operators.positions import file_key, partition_key
 from minuteflow.operators.ranges import minute_literal, owned
@@ -48,9 +48,10 @@ def build_checkpoint(consumed: DataFrame, stream_type: str = "local") -> DataFra
     last = consumed.groupBy("cluster", F.minute("minute").alias("minute_of_hour")).agg(
         F.max(F.struct("minute", key, "line_no")).alias("_last")
     )
-    latest = last.groupBy("cluster").agg(F.max("_last.minute").alias("_latest"))
+    # At most 60 rows per cluster are left, so this window is small.
+    latest = F.max("_last.minute").over(Window.partitionBy("cluster"))
     behind = F.col("_last.minute") < F.col("_latest")
-    return last.join(latest, "cluster").select(
+    return last.withColumn("_latest", latest).select(
         "cluster",
         "minute_of_hour",
         F.col("_last.minute").alias("minute"),

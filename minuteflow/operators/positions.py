@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from minuteflow.session import broadcast_if_small, ship_package, work_dir
 
 # Order of files inside a partition. Minute directories: directory, then
 # modification time, then name. Collector and stitched streams: file-name
@@ -21,33 +27,80 @@ def partition_key(stream_type: str) -> list[str]:
     return COLLECTOR_PARTITION if stream_type in ("collector", "stitched") else MINUTE_PARTITION
 
 
-def with_positions(lines: DataFrame) -> DataFrame:
-    """Add ``line_no``, from 1 in every file, to rows just scanned.
+def _rows_in_split(
+    batches: Iterator[tuple[pa.Array, pa.Array]],
+) -> Iterator[pa.Array]:
+    """Number the rows of each split from 0; a task reads its splits one after the other."""
+    split, seen = None, 0
+    for paths, starts in batches:
+        codes = paths.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        begins = starts.to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((np.diff(codes) != 0) | (np.diff(begins) != 0)) + 1
+        numbers = np.arange(len(begins), dtype=np.int64)
+        for begin, end in zip([0, *cuts], [*cuts, len(begins)]):
+            here = (paths[begin].as_py(), begins[begin]) if end > begin else split
+            seen = seen if here == split else 0
+            numbers[begin:end] += seen - begin
+            split, seen = here, seen + end - begin
+        yield pa.array(numbers)
+
+
+# Its result depends on the rows before, so no filter may move below it.
+_row_in_split = F.arrow_udf(_rows_in_split, T.LongType()).asNondeterministic()
+
 
-    A scan reads each split in order, so a row's number inside its split is its
-    running id less the split's first id. Adding the lines of the file's
-    earlier splits gives the number in the file. Only one row per split is
-    aggregated and joined; lines are neither sorted nor gathered per file.
+def _split_offsets(lines: DataFrame, max_broadcast: int) -> DataFrame:
+    """Lines before each later split of a file, as a written table of one row per split.
+
+    The offset of a split depends only on where it starts, so it holds however
+    a later scan cuts the files. Gzip files are never cut and not counted.
     """
-    tagged = lines.withColumn("_row", F.monotonically_increasing_id())
-    splits = tagged.groupBy("file_path", "split_start").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
-    )
+    spark = lines.sparkSession
     earlier = (
         Window.partitionBy("file_path")
         .orderBy("split_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = splits.select(
+    counts = (
+        lines.filter(~F.col("file_path").endswith(".gz"))
+        .groupBy("file_path", "split_start")
+        .agg(F.count(F.lit(1)).alias("_lines"))
+    )
+    offsets = counts.select(
         F.col("file_path").alias("_path"),
         F.col("split_start").alias("_start"),
-        (F.coalesce(F.sum("_lines").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
+        F.sum("_lines").over(earlier).alias("_before"),
+    ).filter(F.col("_start") > 0)
+    path = work_dir(spark, "split_offsets")
+    offsets.write.parquet(path)
+    return broadcast_if_small(spark.read.schema(_OFFSETS).parquet(path), max_broadcast)
+
+
+_OFFSETS = "_path string, _start long, _before long"
+
+
+def with_positions(lines: DataFrame, max_broadcast: int = 2_000_000) -> DataFrame:
+    """Add ``line_no``, from 1 in every file, to rows just scanned.
+
+    A row's number in its file is its number in its split plus the lines of
+    the file's earlier splits. The first is counted while the split is read;
+    only the position columns go through Python. The second is counted once,
+    when this is called, for files that can be split at all. Lines are neither
+    sorted nor gathered per file, and up to ``max_broadcast`` splits they are
+    not shuffled either.
+    """
+    ship_package(lines.sparkSession)
+    offsets = _split_offsets(lines, max_broadcast)
     same_split = (F.col("file_path") == F.col("_path")) & (F.col("split_start") == F.col("_start"))
+    first_split = F.col("split_start") == 0
+    # Every later split that holds lines was counted, unless the file has changed.
+    known = F.coalesce("_before", F.raise_error(F.lit("a file changed while it was read")))
+    offset = F.when(first_split, F.lit(0).cast("long")).otherwise(known)
+    numbered = lines.withColumn("_row", _row_in_split("file_path", "split_start"))
     return (
-        tagged.join(offsets, same_split)
-        .withColumn("line_no", F.col("_row") + F.col("_shift"))
-        .drop("_row", "_path", "_start", "_shift")
+        numbered.join(offsets, same_split, "left")
+        .withColumn("line_no", F.col("_row") + 1 + offset)
+        .drop("_row", "_path", "_start", "_before")
     )
 
 
@@ -56,31 +109,47 @@ def order_key(stream_type: str = "local") -> Column:
     return F.struct(*file_key(stream_type), "line_no")
 
 
-def consume(
-    df: DataFrame, max_messages: int, stream_type: str = "local", by: list[str] | None = None
+def _stream_order(stream_type: str) -> list[str]:
+    if stream_type in ("collector", "stitched"):
+        return [*COLLECTOR_PARTITION, *COLLECTOR_KEY]
+    return ["minute", "cluster", *MINUTE_KEY]
+
+
+def number_messages(
+    df: DataFrame, stream_type: str = "local", max_messages: int | None = None
 ) -> DataFrame:
-    """The first ``max_messages`` rows in stream order.
+    """Add ``message_no``, from 1 over the whole frame in stream order.
 
-    Order: ``by`` (minute and cluster unless given), file, line. Lines are
-    counted per file and only these counts are ordered; a row stays if its file
-    lies wholly below the limit or its line number does. The rows themselves
-    are never sorted.
+    Order: minute, cluster, file and line; or collector, file and line. Lines
+    are counted per file and only these counts are put in order, so the rows
+    themselves are never sorted. ``max_messages`` leaves out later files.
     """
-    if by is None:
-        by = ["cluster", "collector"] if stream_type in ("collector", "stitched") else ["minute", "cluster"]
-    keys = [*by, *[k for k in file_key(stream_type) if k not in by]]
-    files = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    keys = _stream_order(stream_type)
+    files = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), (F.min("line_no") - 1).alias("_skipped")
+    )
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    starts = starts.filter(F.col("_before") < max_messages).drop("_n")
-    starts = starts.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before")
+    if max_messages is not None:
+        starts = starts.filter(F.col("_before") < max_messages)
+    starts = starts.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before", "_skipped")
     same_file = F.lit(True)
     for k in keys:
         same_file = same_file & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    rank = F.col("_before") + F.col("line_no")
+    # Lines of a file are dense; a file that is resumed begins after its first ones.
     return (
         df.join(starts, same_file)
-        .filter(rank <= max_messages)
-        .withColumn("message_no", rank)
-        .drop("_before", *[f"_{k}" for k in keys])
+        .withColumn("message_no", F.col("_before") + F.col("line_no") - F.col("_skipped"))
+        .drop("_before", "_skipped", *[f"_{k}" for k in keys])
     )
+
+
+def consume(df: DataFrame, max_messages: int, stream_type: str = "local") -> DataFrame:
+    """The first ``max_messages`` rows in stream order, with their ``message_no``."""
+    numbered = number_messages(df, stream_type, max_messages)
+    return numbered.filter(F.col("message_no") <= max_messages)
+
+
+def mark_points(numbered: DataFrame, every: int = 5000) -> DataFrame:
+    """Messages after which a consumer marks: each ``every``-th in stream order."""
+    return numbered.filter(F.col("message_no") % every == 0)

@@ -63,14 +63,23 @@ def stream_start(files: DataFrame, by: str = "cluster", axis: str = "minute") ->
 
 
 def first_gaps(dirs: DataFrame, keys: list[str]) -> DataFrame:
-    """Per stream, the first minute whose next minute directory is missing."""
-    present = dirs.select(*keys, "minute").distinct()
-    before = present.select(*keys, (F.col("minute") - F.expr("interval 1 minute")).alias("minute"))
-    return (
-        present.join(before, [*keys, "minute"], "left_anti")
-        .groupBy(*keys)
-        .agg(F.min("minute").alias("first_gap"))
+    """Per stream, the first minute whose next minute directory is missing.
+
+    Each directory states its own minute and vouches for the one before, so
+    one aggregation finds the minutes that nobody vouches for.
+    """
+    minute = F.col("minute")
+    claims = F.array(
+        F.struct(minute.alias("minute"), F.lit(True).alias("here")),
+        F.struct((minute - F.expr("interval 1 minute")).alias("minute"), F.lit(False).alias("here")),
+    )
+    minutes = (
+        dirs.select(*keys, F.explode(claims).alias("claim"))
+        .groupBy(*keys, F.col("claim.minute").alias("minute"))
+        .agg(F.bool_or("claim.here").alias("here"), F.bool_or(~F.col("claim.here")).alias("followed"))
     )
+    gaps = minutes.filter(F.col("here") & ~F.col("followed"))
+    return gaps.groupBy(*keys).agg(F.min("minute").alias("first_gap"))
 
 
 def complete_minutes(
@@ -80,8 +89,8 @@ def complete_minutes(
 
     Minute m is complete if directory m+1 exists; the first minute where it
     does not stops the stream there. Everything before that minute is an
-    unbroken run, so the gate is one bound per stream: an anti-join and a
-    ``min``, with no ordered window over the whole stream.
+    unbroken run, so the gate is one bound per stream and needs no ordered
+    window over the whole stream.
     """
     keys = keys or ["cluster"]
     dirs = time_range(dirs, start, None)

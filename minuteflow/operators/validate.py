@@ -6,8 +6,6 @@ A payload is ``seq/tsent_ms/tfiller``; the delimiter is the two characters
 
 from __future__ import annotations
 
-from functools import partial, reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Fixed delimiter of the payload: a slash and the letter t, not a tab.
@@ -79,27 +77,26 @@ def validate(
     arrival_ms: str | None = None,
 ) -> DataFrame:
     """One row: counters and ``success``."""
-    totals = parsed.agg(
-        F.count(F.lit(1)).alias("received"),
+    seq, arrivals = F.col("seq"), F.col("arrivals")
+    # One pass: counts per number, then totals. Unreadable numbers share the NULL group.
+    per_seq = parsed.groupBy("seq").agg(
+        F.count(F.lit(1)).alias("arrivals"),
         F.count_if("corrupt").alias("corrupt"),
         F.count_if(~F.col("corrupt") & (F.col("filler") != filler)).alias("mismatches"),
     )
-    in_range = F.col("seq").between(1, max_seq)
-    extra = F.greatest(F.col("arrivals") - producers, F.lit(0))
-    full = in_range & (F.col("arrivals") >= producers)
-    seqs = sequence_counts(parsed).agg(
-        F.coalesce(F.sum(extra), F.lit(0)).alias("duplicates"),
-        (F.lit(max_seq).cast("long") - F.count_if(full)).alias("missing"),
+    in_range = seq.between(1, max_seq)
+    extra = F.when(seq.isNotNull(), F.greatest(arrivals - producers, F.lit(0)))
+    sums = {"received": arrivals, "corrupt": F.col("corrupt"), "mismatches": F.col("mismatches"), "duplicates": extra}
+    out = per_seq.agg(
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in sums.items()],
+        (F.lit(max_seq).cast("long") - F.count_if(in_range & (arrivals >= producers))).alias("missing"),
         F.count_if(~in_range).alias("unexpected"),
     )
-    parts = [totals, seqs]
-    if arrival_ms is not None:
-        parts.append(latency(parsed, producers, arrival_ms))
-    # Each part is one row; stacking them and taking the only value puts them side by side.
-    stacked = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
-    out = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     if arrival_ms is not None:
+        # Two frames of one row each: stacked, then the only value of every column taken.
+        stacked = out.unionByName(latency(parsed, producers, arrival_ms), allowMissingColumns=True)
         mean = F.when(F.col("received") > 0, F.expr("total_latency_ms div received"))
+        out = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
         out = out.withColumn("mean_latency_ms", mean).drop("total_latency_ms")
     clean = F.lit(True)
     for c in ("duplicates", "missing", "unexpected", "mismatches", "corrupt"):

@@ -11,21 +11,27 @@ from minuteflow.functions import filenames
 from minuteflow.operators.ranges import check_range, time_range
 from minuteflow.sources import layout, storage
 from minuteflow.sources.listing import list_files
-from minuteflow.sources.minutes import POSITION_COLUMNS, load_or_empty, read_minutes
+from minuteflow.sources.minutes import (
+    POSITION_COLUMNS,
+    decoded,
+    load_or_empty,
+    path_below,
+    read_minutes,
+)
 
 FILE_KEY = ["cluster", "collector", "file_minute", "file_id"]
 
 
 def _scan_root(spark, cluster, root, topic):
     base = layout.stream_dir(storage.qualify(spark, root), topic, "collector")
-    raw = load_or_empty(spark, "text", base, {})
-    file_path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    pattern = rf"/\Q{topic}\E/([^/]+)/[^/]+$"
+    raw = load_or_empty(spark, "text", layout.range_path(base), {})
+    file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
+    below = path_below(file_path, base)
     out = raw.select(
         F.lit(topic).alias("topic"),
         F.lit("collector").alias("stream_type"),
         F.lit(cluster).alias("cluster"),
-        F.regexp_extract(file_path, pattern, 1).alias("collector"),
+        F.substring_index(below, "/", 1).alias("collector"),
         F.lit(None).cast("timestamp").alias("minute"),
         filenames.file_minute_of(name).alias("file_minute"),
         filenames.file_id_of(name).alias("file_id"),
@@ -37,7 +43,8 @@ def _scan_root(spark, cluster, root, topic):
         "value",
     )
     open_file = F.col("file_name").endswith("_current") | F.col("file_name").endswith("_stats")
-    return out.filter(~open_file & F.col("file_minute").isNotNull())
+    direct = F.concat_ws("/", "collector", "file_name") == below
+    return out.filter(~open_file & F.col("file_minute").isNotNull() & direct)
 
 
 def read_collectors(
@@ -79,11 +86,13 @@ def read_stitched(
     # bound can prune directories; the file-name minute decides.
     committed = read_minutes(spark, roots, topic, "local", start=start)
     committed = time_range(committed, start, stop, axis="file_minute")
-    moved = (
-        list_files(spark, roots, topic, "collector")
-        .join(list_files(spark, roots, topic, "local", start=start), FILE_KEY, "left_semi")
-        .select(*FILE_KEY)
-    )
+    waiting = list_files(spark, roots, topic, "collector", start, stop)
+    # Copies lie in minutes not before their file's, so older ones need no listing.
+    oldest = waiting.agg(F.date_format(F.min("file_minute"), "yyyy-MM-dd HH:mm")).first()[0]
+    if oldest is None:
+        return committed.select(*POSITION_COLUMNS, "value")
+    copies = list_files(spark, roots, topic, "local", start=datetime.fromisoformat(oldest))
+    moved = waiting.join(copies, FILE_KEY, "left_semi").select(*FILE_KEY)
     key = F.concat_ws(
         "/", "cluster", "collector", F.date_format("file_minute", "yyyyMMddHHmm"), "file_id"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta, timezone
 
 from minuteflow.sources import storage
@@ -86,8 +87,9 @@ def covering_dirs(start: datetime, stop: datetime) -> list[str]:
     return dirs
 
 
-def range_path(base: str, start: datetime | None, stop: datetime | None) -> str:
+def range_path(base: str, start: datetime | None = None, stop: datetime | None = None) -> str:
     """A glob below ``base`` that matches only directories of the range."""
+    base = re.sub(r"([{}\[\]*?\\])", r"\\\1", base)
     if start is None and stop is None:
         return base
     first = start or datetime(1970, 1, 1)

@@ -17,6 +17,7 @@ POSITION_COLUMNS = [
     "file_dir", "file_name", "file_mtime", "file_path", "split_start",
 ]
 
+_ENCODED = ' "<>\\^`{|}%#?[]'
 _EMPTY_TEXT = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -43,11 +44,30 @@ def load_or_empty(
         return empty.withColumn("_metadata", F.lit(None).cast(meta))
 
 
-def relative_dir(file_path: Column, base: str) -> Column:
-    """``yyyy/MM/dd/HH/mm[/...]`` of a file below the stream directory."""
-    stream = base.rsplit("/", 1)[-1]
-    pattern = rf"/\Q{stream}\E/(\d{{4}}/\d{{2}}/\d{{2}}/\d{{2}}/\d{{2}}(?:/.+)?)/[^/]+$"
-    return F.regexp_extract(file_path, pattern, 1)
+def decoded(uri_part: Column) -> Column:
+    """Undo the URI encoding of ``_metadata`` names; most have nothing to undo."""
+    plain = F.replace(uri_part, F.lit("+"), F.lit("%2B"))
+    return F.when(uri_part.contains("%"), F.try_url_decode(plain)).otherwise(uri_part)
+
+
+def path_below(file_path: Column, base: str, encoded: bool = True) -> Column:
+    """The part of a file's path below ``base``, by plain string search.
+
+    ``_metadata.file_path`` is URI-encoded; the path of ``binaryFile`` is not.
+    """
+    inner = base.split("://", 1)[-1]
+    inner = "/" + inner.split("/", 1)[-1].strip("/") + "/"
+    if encoded:
+        inner = "".join(f"%{ord(c):02X}" if c in _ENCODED else c for c in inner)
+    begin = F.locate(inner, file_path) + len(inner)
+    below = F.substring(file_path, begin, F.length(file_path))
+    return decoded(below) if encoded else below
+
+
+def relative_dir(below: Column) -> Column:
+    """``yyyy/MM/dd/HH/mm[/...]`` from a path below the stream directory."""
+    name = F.substring_index(below, "/", -1)
+    return F.substring(below, F.lit(1), F.length(below) - F.length(name) - 1)
 
 
 def minute_of_dir(file_dir: Column) -> Column:
@@ -58,8 +78,8 @@ def _scan_root(spark, cluster, root, topic, stream_type, fmt, start, stop, optio
     base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)
     raw = load_or_empty(spark, fmt, layout.range_path(base, start, stop), options, schema)
     values = [c for c in raw.columns if c != "_metadata"]
-    file_path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    file_dir = relative_dir(file_path, base)
+    file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
+    file_dir = relative_dir(path_below(file_path, base))
     committed = stream_type != "generic"
     null = F.lit(None)
     out = raw.select(
@@ -100,7 +120,7 @@ def read_minutes(
 
     The range (both ends inclusive) limits the directories that are listed; the
     consumer group ``k/n`` limits the files that are opened. Names starting
-    with ``_`` or ``.`` are skipped. Topic names must not need URL escaping.
+    with ``_`` or ``.`` are skipped.
     """
     check_range(start, stop)
     frames = [
@@ -123,3 +143,37 @@ def decode_messages(lines: DataFrame, lenient: bool = False) -> DataFrame:
 def read_messages(spark: SparkSession, roots: layout.Roots, topic: str, **kwargs) -> DataFrame:
     """The message table of a stream: scan, Base64 decode and header strip."""
     return decode_messages(read_minutes(spark, roots, topic, fmt="text", **kwargs))
+
+
+def read_sequence_values(
+    spark: SparkSession,
+    roots: layout.Roots,
+    topic: str,
+    stream_type: str = "generic",
+    start: datetime | None = None,
+    stop: datetime | None = None,
+    key_class: str = "org.apache.hadoop.io.IntWritable",
+) -> DataFrame:
+    """Text values of old sequence files, without keys: ``topic, cluster, value``.
+
+    Spark has no DataFrame reader for this format, so this one source goes
+    through the Hadoop input format. The range still limits the directories.
+    """
+    check_range(start, stop)
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    frames = []
+    for cluster, root in layout.named_roots(roots, stream_type).items():
+        base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)
+        values = spark.sparkContext.newAPIHadoopFile(
+            layout.range_path(base, start, stop),
+            "org.apache.hadoop.mapreduce.lib.input.SequenceFileInputFormat",
+            key_class,
+            "org.apache.hadoop.io.Text",
+            conf={"mapreduce.input.fileinputformat.input.dir.recursive": "true"},
+        ).map(lambda pair: (pair[1],))
+        frames.append(
+            spark.createDataFrame(values, schema).select(
+                F.lit(topic).alias("topic"), F.lit(cluster).alias("cluster"), "value"
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)

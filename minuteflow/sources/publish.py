@@ -170,7 +170,7 @@ def _plan(spark, root, stage, stream_type) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "part-*")
-        .load(f"{stage}/lines")
+        .load(layout.range_path(f"{stage}/lines"))
         .select(F.col("path").alias("source"))
     )
     path = F.col("source")
@@ -269,7 +269,7 @@ def publish(
     stage = f"{root}/_staging/{tag}"
     if storage.exists(f"{stage}/_COMMITTED"):
         counts = json.loads(storage.read_text(f"{stage}/counts.json"))
-        files = spark.read.parquet(f"{stage}/plan")
+        files = spark.read.parquet(layout.range_path(f"{stage}/plan"))
         return Published(tag, counts["accepted"], counts["rejected"], files)
 
     if not storage.exists(f"{stage}/plan/_SUCCESS"):
@@ -309,7 +309,7 @@ def publish(
         plan = _with_start(spark, root, stream_type, plan)
         plan.write.mode("overwrite").parquet(f"{stage}/plan")
 
-    plan = spark.read.parquet(f"{stage}/plan")
+    plan = spark.read.parquet(layout.range_path(f"{stage}/plan"))
     counts = json.loads(storage.read_text(f"{stage}/counts.json"))
     if counts["accepted"]:
         _commit(spark, root, stage, stream_type, plan)

@@ -146,3 +146,18 @@ def test_gate_on_real_directories(spark, stream):
     assert bounds == {"c0": T0 + 4 * ONE}
     bounds = ranges.read_bounds(minute_dirs(spark, root, stream.topic), start=T0 + 5 * ONE)
     assert bounds == {"c0": T0 + 4 * ONE}
+
+
+def test_names_that_need_escaping(spark, tmp_path):
+    from conftest import Stream
+
+    odd = Stream(tmp_path / "a b%20c#d")
+    odd.topic = "t [1]+x"
+    odd.commit(T0, ["committed"], collector="my host", file_minute=T0)
+    odd.collect(T0 + ONE, ["in flight"], collector="host2")
+    root = str(odd.root)
+    row = read_messages(spark, root, odd.topic).first()
+    assert (row.minute, row.collector, bytes(row.payload)) == (T0, "my host", b"committed")
+    assert [f.minute for f in list_files(spark, root, odd.topic).collect()] == [T0]
+    rows = decode_messages(read_stitched(spark, root, odd.topic))
+    assert texts_of(rows) == ["committed", "in flight"]
