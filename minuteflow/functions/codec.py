@@ -73,24 +73,29 @@ def attach_header(df: DataFrame, ts_ms: str, col: str = "payload") -> DataFrame:
     return df.withColumn(col, with_header(F.col(col), F.col(ts_ms)))
 
 
-def _unsigned(payload: Column, pos: int, size: int) -> Column:
-    return F.conv(F.hex(F.substring(payload, pos, size)), 16, 10)
-
-
 def header_time(payload: Column) -> Column:
     """The eight time bytes as a signed 64-bit number."""
     return F.conv(F.hex(F.substring(payload, 5, 8)), 16, -10).try_cast("long")
 
 
 def has_header(payload: Column) -> Column:
-    """True if the payload starts with a valid audit header."""
-    prefix = F.hex(F.substring(payload, 1, 4))
-    size = _unsigned(payload, 13, 4).try_cast("long")
+    """True if the payload starts with a valid audit header.
+
+    Bytes are compared as they are, in unsigned order; nothing is decoded.
+    """
+
+    def raw(digits: str) -> Column:
+        return F.unhex(F.lit(digits))
+
+    size = F.octet_length(payload)
+    time = F.substring(payload, 5, 8)
+    body_size = F.unhex(F.lpad(F.hex((size - HEADER_LENGTH).cast("long")), 8, "0"))
     checks = (
-        (F.octet_length(payload) >= HEADER_LENGTH)
-        & (prefix == HEADER_VERSION + HEADER_MAGIC)
-        & (header_time(payload) >= HEADER_BASE_MS)
-        & (size + HEADER_LENGTH == F.octet_length(payload))
+        (size >= HEADER_LENGTH)
+        & (F.substring(payload, 1, 4) == raw(HEADER_VERSION + HEADER_MAGIC))
+        & (time >= raw(f"{HEADER_BASE_MS:016X}"))
+        & (time < raw("8000000000000000"))  # a set first bit means a negative time
+        & (F.substring(payload, 13, 4) == body_size)
     )
     return F.coalesce(checks, F.lit(False))
 

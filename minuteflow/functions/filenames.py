@@ -10,29 +10,36 @@ FILE_MINUTE_FORMAT = "yyyy-MM-dd-HH-mm"
 NAME_PATTERN = r"^(.+)-(\d{4}-\d{2}-\d{2}-\d{2}-\d{2})_(\d+)(?:\.(\w+))?$"
 
 
+_MINUTE_SIZE = 16  # characters of a printed file minute
+
+
+def _tail(name: Column) -> Column:
+    """What follows the last underscore: the id and an extension, if any."""
+    return F.substring_index(name, "_", -1)
+
+
 def file_minute_of(name: Column) -> Column:
-    """The creation minute in a file name, or NULL."""
+    """The creation minute in a file name, or NULL.
+
+    These three take well-formed names apart by position. They run on every
+    row of a scan, so they use no patterns; ``parse_file_names`` is strict.
+    """
+    begin = F.length(name) - F.length(_tail(name)) - _MINUTE_SIZE
     return F.try_to_timestamp(
-        F.regexp_extract(name, NAME_PATTERN, 2), F.lit(FILE_MINUTE_FORMAT)
+        F.substring(name, begin, F.lit(_MINUTE_SIZE)), F.lit(FILE_MINUTE_FORMAT)
     )
 
 
 def file_id_of(name: Column) -> Column:
-    return F.regexp_extract(name, NAME_PATTERN, 3).try_cast("int")
+    return F.substring_index(_tail(name), ".", 1).try_cast("int")
 
 
-def extension_of(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, NAME_PATTERN, 4), F.lit(""))
-
-
-def collector_of(name: Column, stream: Column) -> Column:
+def collector_of(name: Column, stream: str) -> Column:
     """The collector in front of the stream name, or NULL."""
-    prefix = F.regexp_extract(name, NAME_PATTERN, 1)
-    size = F.length(prefix) - F.length(stream) - 1
-    return F.when(
-        (size > 0) & prefix.endswith(F.concat(F.lit("-"), stream)),
-        F.substring(prefix, F.lit(1), size),
-    )
+    rest = F.length(name) - F.length(_tail(name)) - _MINUTE_SIZE - 1 - len(f"-{stream}-")
+    collector = F.substring(name, F.lit(1), rest)
+    is_stream = F.substring(name, rest + 1, F.lit(len(stream) + 2)) == f"-{stream}-"
+    return F.when((rest > 0) & is_stream, collector)
 
 
 def parse_file_names(df: DataFrame, col: str, stream: str | None = None) -> DataFrame:
@@ -43,19 +50,24 @@ def parse_file_names(df: DataFrame, col: str, stream: str | None = None) -> Data
     front and an extension. Streams and collectors may contain ``-``.
     """
     name = F.col(col)
-    parsed = F.struct(
-        file_minute_of(name).alias("file_minute"),
-        file_id_of(name).alias("file_id"),
-        extension_of(name).alias("ext"),
-    )
-    out = df.withColumn("_name", parsed)
+    parts = {
+        "prefix": F.nullif(F.regexp_extract(name, NAME_PATTERN, 1), F.lit("")),
+        "file_minute": F.try_to_timestamp(
+            F.regexp_extract(name, NAME_PATTERN, 2), F.lit(FILE_MINUTE_FORMAT)
+        ),
+        "file_id": F.regexp_extract(name, NAME_PATTERN, 3).try_cast("int"),
+        "ext": F.nullif(F.regexp_extract(name, NAME_PATTERN, 4), F.lit("")),
+    }
+    out = df.withColumn("_name", F.struct(*[v.alias(k) for k, v in parts.items()]))
+    prefix = F.col("_name.prefix")
     dated = F.col("_name.file_minute").isNotNull() & F.col("_name.file_id").isNotNull()
     if stream is None:
-        prefix = F.nullif(F.regexp_extract(name, NAME_PATTERN, 1), F.lit(""))
         valid = dated & prefix.isNotNull() & F.col("_name.ext").isNull()
         stream_col, collector = prefix, F.lit(None).cast("string")
     else:
-        collector = collector_of(name, F.col(stream))
+        size = F.length(prefix) - F.length(stream) - 1
+        ends = prefix.endswith(F.concat(F.lit("-"), F.col(stream)))
+        collector = F.when((size > 0) & ends, F.substring(prefix, F.lit(1), size))
         valid = dated & collector.isNotNull() & F.col("_name.ext").isNotNull()
         stream_col = F.col(stream)
     fields = {

@@ -14,6 +14,7 @@ from minuteflow.sources.listing import list_files
 from minuteflow.sources.minutes import (
     POSITION_COLUMNS,
     decoded,
+    inner_path,
     load_or_empty,
     path_below,
     read_minutes,
@@ -26,7 +27,7 @@ def _scan_root(spark, cluster, root, topic):
     base = layout.stream_dir(storage.qualify(spark, root), topic, "collector")
     raw = load_or_empty(spark, "text", layout.range_path(base), {})
     file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
-    below = path_below(file_path, base)
+    below = decoded(path_below(file_path, inner_path(base)))
     out = raw.select(
         F.lit(topic).alias("topic"),
         F.lit("collector").alias("stream_type"),

@@ -14,7 +14,7 @@ from minuteflow.functions import filenames
 from minuteflow.operators.ranges import check_range, time_range
 from minuteflow.session import ship_package
 from minuteflow.sources import layout, storage
-from minuteflow.sources.minutes import load_or_empty, minute_of_dir, path_below, relative_dir
+from minuteflow.sources.minutes import inner_path, load_or_empty, minute_of_dir, path_below
 
 _DIR_SCHEMA = pa.schema({"cluster": pa.string(), "dir": pa.string(), "n_files": pa.int64()})
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -40,14 +40,15 @@ def list_files(
         path = layout.range_path(base, start, stop) if by_dir else layout.range_path(base)
         raw = load_or_empty(spark, "binaryFile", path, {}, _FILE_SCHEMA)
         name = F.element_at(F.split("path", "/"), -1)
-        below = path_below(F.col("path"), base, encoded=False)
-        file_dir = relative_dir(below) if by_dir else F.lit(None).cast("string")
+        below = path_below(F.col("path"), inner_path(base, encoded=False))
+        dir_size = F.length(below) - F.length(name) - 1
+        file_dir = F.substring(below, F.lit(1), dir_size) if by_dir else F.lit(None).cast("string")
         if stream_type == "collector":
             collector = F.element_at(F.split("path", "/"), -2)
         elif stream_type == "generic":
             collector = F.lit(None).cast("string")
         else:
-            collector = filenames.collector_of(name, F.lit(topic))
+            collector = filenames.collector_of(name, topic)
         generic = stream_type == "generic"
         null = F.lit(None)
         frames.append(

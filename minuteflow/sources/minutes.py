@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from minuteflow.functions import codec, filenames
-from minuteflow.operators.ranges import check_range, consumer_group, time_range
+from minuteflow.operators.ranges import check_range, parse_group
 from minuteflow.sources import layout, storage
 
 POSITION_COLUMNS = [
@@ -50,46 +50,60 @@ def decoded(uri_part: Column) -> Column:
     return F.when(uri_part.contains("%"), F.try_url_decode(plain)).otherwise(uri_part)
 
 
-def path_below(file_path: Column, base: str, encoded: bool = True) -> Column:
-    """The part of a file's path below ``base``, by plain string search.
+def inner_path(base: str, encoded: bool = True) -> str:
+    """The path of ``base`` as it appears inside file paths.
 
     ``_metadata.file_path`` is URI-encoded; the path of ``binaryFile`` is not.
     """
     inner = base.split("://", 1)[-1]
     inner = "/" + inner.split("/", 1)[-1].strip("/") + "/"
-    if encoded:
-        inner = "".join(f"%{ord(c):02X}" if c in _ENCODED else c for c in inner)
+    return "".join(f"%{ord(c):02X}" if encoded and c in _ENCODED else c for c in inner)
+
+
+def path_below(file_path: Column, inner: str) -> Column:
+    """The part of a file's path below ``inner``, by plain string search."""
     begin = F.locate(inner, file_path) + len(inner)
-    below = F.substring(file_path, begin, F.length(file_path))
-    return decoded(below) if encoded else below
+    return F.substring(file_path, begin, F.length(file_path))
 
 
-def relative_dir(below: Column) -> Column:
-    """``yyyy/MM/dd/HH/mm[/...]`` from a path below the stream directory."""
-    name = F.substring_index(below, "/", -1)
-    return F.substring(below, F.lit(1), F.length(below) - F.length(name) - 1)
+def in_minute_dirs(file_path: Column, inner: str, group: str | None = None) -> Column:
+    """True for files below a minute directory that the group member owns.
+
+    One pattern on the path alone, so Spark applies it to files when it lists
+    them and it costs little where it runs again on rows.
+    """
+    minutes = "[0-5]\\d"
+    if group is not None:
+        number, total = parse_group(group)
+        minutes = "|".join(f"{m:02d}" for m in range(number - 1, 60, total))
+    day = r"\d{4}/(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])"
+    return file_path.rlike(rf"\Q{inner}\E{day}/(?:[01]\d|2[0-3])/(?:{minutes})/")
 
 
 def minute_of_dir(file_dir: Column) -> Column:
     return F.try_to_timestamp(F.substring(file_dir, 1, 16), F.lit(layout.MINUTE_DIR_FORMAT))
 
 
-def _scan_root(spark, cluster, root, topic, stream_type, fmt, start, stop, options, schema):
+def _scan_root(spark, cluster, root, topic, stream_type, fmt, start, stop, group, options, schema):
     base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)
     raw = load_or_empty(spark, fmt, layout.range_path(base, start, stop), options, schema)
     values = [c for c in raw.columns if c != "_metadata"]
     file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
-    file_dir = relative_dir(path_below(file_path, base))
+    inner = inner_path(base)
+    below = path_below(file_path, inner)
+    dir_size = F.length(below) - F.length("_metadata.file_name") - 1
+    file_dir = decoded(F.substring(below, F.lit(1), dir_size))
     committed = stream_type != "generic"
     null = F.lit(None)
-    out = raw.select(
+    # The directories of the range are listed exactly, so only the layout is checked.
+    out = raw.filter(in_minute_dirs(file_path, inner, group)).select(
         F.lit(topic).alias("topic"),
         F.lit(stream_type).alias("stream_type"),
         F.lit(cluster).alias("cluster"),
-        (filenames.collector_of(name, F.lit(topic)) if committed else null.cast("string")).alias(
+        (filenames.collector_of(name, topic) if committed else null.cast("string")).alias(
             "collector"
         ),
-        minute_of_dir(file_dir).alias("minute"),
+        minute_of_dir(below).alias("minute"),
         (filenames.file_minute_of(name) if committed else null.cast("timestamp")).alias(
             "file_minute"
         ),
@@ -101,7 +115,7 @@ def _scan_root(spark, cluster, root, topic, stream_type, fmt, start, stop, optio
         F.col("_metadata.file_block_start").alias("split_start"),
         *values,
     )
-    return out.filter(F.col("minute").isNotNull())
+    return out
 
 
 def read_minutes(
@@ -125,13 +139,11 @@ def read_minutes(
     check_range(start, stop)
     frames = [
         _scan_root(
-            spark, cluster, root, topic, stream_type, fmt, start, stop, options or {}, schema
+            spark, cluster, root, topic, stream_type, fmt, start, stop, group, options or {}, schema
         )
         for cluster, root in layout.named_roots(roots, stream_type).items()
     ]
-    out = reduce(DataFrame.unionByName, frames)
-    out = time_range(out, start, stop)
-    return consumer_group(out, group) if group else out
+    return reduce(DataFrame.unionByName, frames)
 
 
 def decode_messages(lines: DataFrame, lenient: bool = False) -> DataFrame:

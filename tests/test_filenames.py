@@ -53,3 +53,25 @@ def test_print_parse_round_trip(spark):
     df = spark.range(1).select(name.alias("name"))
     assert df.first().name == "host-1-a-b-2012-11-05-14-20_00007.gz"
     assert parse(spark, df.first().name, "a-b").collector == "host-1"
+
+
+def test_positional_parts_agree_with_the_pattern(spark):
+    names = [
+        "c1-a-test-2012-11-05-14-20_00003.gz", "c.x_1-a-test-2012-11-05-14-20_00003.gz",
+        "a-test-2012-11-05-14-20_00003.gz", "c1-b-test-2012-11-05-14-20_00003.gz", "invalid", "",
+        "c1-a-test-2012-13-05-14-20_00003.gz", "c1-a-test-2012-11-05-14-20_x.gz", "_", "a_b",
+    ]
+    df = spark.createDataFrame([(n, "a-test") for n in names], "name string, topic string")
+    name = F.col("name")
+    rows = filenames.parse_file_names(df, "name", "topic").select(
+        "name", "valid", "collector", "file_minute", "file_id",
+        filenames.collector_of(name, "a-test").alias("c"),
+        filenames.file_minute_of(name).alias("m"),
+        filenames.file_id_of(name).alias("i"),
+    ).collect()
+    assert sum(r.valid for r in rows) == 2
+    for r in rows:
+        whole = r.c is not None and r.m is not None and r.i is not None
+        assert whole == r.valid, r
+        if whole:
+            assert (r.c, r.m, r.i) == (r.collector, r.file_minute, r.file_id)
