@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from minuteflow.operators import checkpoint as cp
 from minuteflow.operators import metrics, ranges
 from minuteflow.operators.positions import consume, partition_key, with_positions
-from minuteflow.session import broadcast_if_small, work_dir
+from minuteflow.session import broadcast_if_small, stored
 from minuteflow.sources import layout
 from minuteflow.sources.collectors import read_stitched
 from minuteflow.sources.listing import list_files, minute_dirs
@@ -106,12 +106,6 @@ class Consumer:
         whole = bool(whole) or not (self._by_minute or timed)
         return datetime.fromisoformat(begin) if begin else None, whole
 
-    def _stored(self, df: DataFrame, name: str) -> DataFrame:
-        """Small results that several jobs use are written once."""
-        path = work_dir(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     def _least(self) -> datetime | None:
         if self._checkpoint is None:
             return None
@@ -126,12 +120,12 @@ class Consumer:
             kinds = ["collector", "local"] if self.stream_type == "stitched" else ["collector"]
             files = [list_files(self.spark, self.roots, self.topic, kind) for kind in kinds]
             used = reduce(DataFrame.unionByName, files).select(F.col("file_minute").alias("minute"))
-            return _Plan(begin, self._stored(used.distinct(), "minutes"), {})
+            return _Plan(begin, stored(used.distinct(), "minutes"), {})
         until = self.stop + timedelta(minutes=1) if self.stop else None
         dirs = minute_dirs(
             self.spark, self.roots, self.topic, self.stream_type, self._since, until
         )
-        dirs = self._stored(dirs, "minutes")
+        dirs = stored(dirs, "minutes")
         bounds = ranges.read_bounds(dirs)
         used = ranges.consumer_group(ranges.gate(dirs, bounds), self.group)
         return _Plan(begin, used.filter(F.col("n_files") > 0).select("minute").distinct(), bounds)
@@ -200,7 +194,7 @@ class Consumer:
         """
         if self._taken is None:
             raise ValueError("nothing was read since the last reset")
-        new = self._stored(cp.build_checkpoint(self._taken, self.stream_type), "positions")
+        new = stored(cp.build_checkpoint(self._taken, self.stream_type), "positions")
         merged = cp.merge_checkpoints(self._checkpoint, new, self.stream_type)
         if self._by_minute:
             merged = self._fill(merged, new)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from minuteflow.session import broadcast_if_small, ship_package, work_dir
+from minuteflow.session import broadcast_if_small, ship_package, stored
 
 # Order of files inside a partition. Minute directories: directory, then
 # modification time, then name. Collector and stitched streams: file-name
@@ -55,7 +55,6 @@ def _split_offsets(lines: DataFrame, max_broadcast: int) -> DataFrame:
     The offset of a split depends only on where it starts, so it holds however
     a later scan cuts the files. Gzip files are never cut and not counted.
     """
-    spark = lines.sparkSession
     earlier = (
         Window.partitionBy("file_path")
         .orderBy("split_start")
@@ -71,12 +70,7 @@ def _split_offsets(lines: DataFrame, max_broadcast: int) -> DataFrame:
         F.col("split_start").alias("_start"),
         F.sum("_lines").over(earlier).alias("_before"),
     ).filter(F.col("_start") > 0)
-    path = work_dir(spark, "split_offsets")
-    offsets.write.parquet(path)
-    return broadcast_if_small(spark.read.schema(_OFFSETS).parquet(path), max_broadcast)
-
-
-_OFFSETS = "_path string, _start long, _before long"
+    return broadcast_if_small(stored(offsets, "split_offsets"), max_broadcast)
 
 
 def with_positions(lines: DataFrame, max_broadcast: int = 2_000_000) -> DataFrame:
@@ -116,13 +110,17 @@ def _stream_order(stream_type: str) -> list[str]:
 
 
 def number_messages(
-    df: DataFrame, stream_type: str = "local", max_messages: int | None = None
+    df: DataFrame,
+    stream_type: str = "local",
+    max_messages: int | None = None,
+    max_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """Add ``message_no``, from 1 over the whole frame in stream order.
 
     Order: minute, cluster, file and line; or collector, file and line. Lines
-    are counted per file and only these counts are put in order, so the rows
-    themselves are never sorted. ``max_messages`` leaves out later files.
+    are counted per file, once, when this is called. Only these counts are put
+    in order, so the rows themselves are never sorted. ``max_messages`` leaves
+    out later files.
     """
     keys = _stream_order(stream_type)
     files = df.groupBy(*keys).agg(
@@ -133,6 +131,7 @@ def number_messages(
     if max_messages is not None:
         starts = starts.filter(F.col("_before") < max_messages)
     starts = starts.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before", "_skipped")
+    starts = broadcast_if_small(stored(starts, "file_starts"), max_broadcast)
     same_file = F.lit(True)
     for k in keys:
         same_file = same_file & F.col(k).eqNullSafe(F.col(f"_{k}"))

@@ -57,6 +57,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a small result once, for several jobs to use without computing it again."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

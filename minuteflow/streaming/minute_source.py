@@ -16,18 +16,55 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from minuteflow.functions import codec
 from minuteflow.session import ship_package
 from minuteflow.sources import layout, storage
-from minuteflow.streaming.lines import SCHEMA, line_batches
+from minuteflow.streaming.lines import SCHEMA, line_batches, next_line_start
 
 _ONE = timedelta(minutes=1)
+MAX_PARTITION_BYTES = 128 << 20
 
 
 @dataclass
 class MinuteFiles(InputPartition):
-    """Files of one minute of one cluster, in stream order."""
+    """Files of one minute of one cluster, in stream order: a large one, or some small ones."""
 
     cluster: str
     minute: str
-    files: list[tuple[str, str]]  # (name, path)
+    files: list[FileRange]
+
+
+@dataclass
+class FileRange:
+    """Lines between two byte offsets of a file; no ``stop`` means its end."""
+
+    name: str
+    path: str
+    size: int
+    start: int = 0
+    stop: int | None = None
+
+
+def _cut(file: FileRange) -> list[FileRange]:
+    """Cut a large uncompressed file at line starts."""
+    if file.path.endswith(".gz"):
+        return [file]
+    parts, start = [], 0
+    while file.size - start > MAX_PARTITION_BYTES:
+        cut = next_line_start(file.path, start + MAX_PARTITION_BYTES, file.size)
+        parts.append(FileRange(file.name, file.path, cut - start, start, cut))
+        start = cut
+    return [*parts, FileRange(file.name, file.path, file.size - start, start)]
+
+
+def _pack(files: list[FileRange]) -> list[list[FileRange]]:
+    """Group neighbours up to the partition size."""
+    groups: list[list[FileRange]] = []
+    room = 0
+    for file in files:
+        if not groups or file.size > room:
+            groups.append([])
+            room = MAX_PARTITION_BYTES
+        groups[-1].append(file)
+        room -= file.size
+    return groups
 
 
 class MinuteReader(DataSourceStreamReader):
@@ -111,8 +148,8 @@ class MinuteReader(DataSourceStreamReader):
                     wanted.append((cluster, layout.minute_path(minute)))
                 minute += _ONE
         with ThreadPoolExecutor(32) as pool:
-            found = list(pool.map(lambda w: self._files(*w), wanted))
-        return [part for part in found if part.files]
+            found = list(pool.map(lambda w: self._parts(*w), wanted))
+        return [part for parts in found for part in parts]
 
     def _owned(self, minute: datetime) -> bool:
         if not self.group:
@@ -120,7 +157,7 @@ class MinuteReader(DataSourceStreamReader):
         number, total = (int(part) for part in self.group.split("/"))
         return minute.minute % total == number - 1
 
-    def _files(self, cluster: str, minute: str) -> MinuteFiles:
+    def _parts(self, cluster: str, minute: str) -> list[MinuteFiles]:
         folder = f"{self._base(cluster)}/{minute}"
         prefix = storage.open_fs(folder)[1]
         files = []
@@ -129,13 +166,19 @@ class MinuteReader(DataSourceStreamReader):
             if entry.type != fs.FileType.File or any(map(storage.hidden, inner.split("/"))):
                 continue
             nested = inner.rpartition("/")[0]
-            files.append((nested, entry.mtime_ns, entry.base_name, f"{folder}/{inner}"))
-        return MinuteFiles(cluster, minute, [(name, path) for _, _, name, path in sorted(files)])
+            file = FileRange(entry.base_name, f"{folder}/{inner}", entry.size)
+            files.append(((nested, entry.mtime_ns, entry.base_name), file))
+        ordered = [file for _, file in sorted(files, key=lambda f: f[0])]
+        ranges = [part for file in ordered for part in _cut(file)]
+        return [MinuteFiles(cluster, minute, group) for group in _pack(ranges)]
 
     def read(self, partition: MinuteFiles) -> Iterator[pa.RecordBatch]:
         minute = layout.parse_minute_path(partition.minute)
-        for name, path in partition.files:
-            yield from line_batches(path, self.topic, partition.cluster, None, minute, name)
+        for file in partition.files:
+            yield from line_batches(
+                file.path, self.topic, partition.cluster, None, minute, file.name,
+                file.start, file.stop,
+            )
 
 
 class MinuteSource(DataSource):

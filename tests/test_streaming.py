@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from minuteflow.operators import audit
 from minuteflow.sources.minutes import read_messages
-from minuteflow.streaming import tail_source
+from minuteflow.streaming import minute_source, tail_source
 from minuteflow.streaming.sinks import audit_stream, read_packets
 from minuteflow.streaming.lines import file_lines, last_newline, next_line_start
 from minuteflow.streaming.minute_source import MinuteReader, stream_minutes
@@ -81,7 +81,8 @@ def test_minute_limit_and_order(stream):
         latest = source.latestOffset()
         parts = source.partitions(offset, latest)
         seen += [p.minute[-2:] for p in parts]
-        assert all(len(p.files) == 2 for p in parts) and len(parts) <= 2
+        assert all([f.name[-8:-3] for f in p.files] == ["00001", "00002"] for p in parts)
+        assert len(parts) <= 2
         offset = latest
     assert seen == ["57", "58", "59", "00", "01"]
     again = reader(stream, maxminutesperbatch="2")
@@ -89,6 +90,20 @@ def test_minute_limit_and_order(stream):
     assert again.latestOffset() == offset
 
 
+def test_minute_partitions_follow_size(stream, monkeypatch):
+    texts = [f"message {i}" for i in range(300)]
+    for name, part in (("f1", texts[:200]), ("f2", texts[200:203]), ("f3", texts[203:206])):
+        (stream.minute_dir(T0) / name).write_bytes(encoded(part))
+    stream.commit(T0, texts[206:], number=4)
+    stream.minute_dir(T0 + ONE)
+    monkeypatch.setattr(minute_source, "MAX_PARTITION_BYTES", 1000)
+    source = reader(stream)
+    parts = source.partitions(source.initialOffset(), source.latestOffset())
+    assert len(parts) >= 4 and any(len(p.files) > 1 for p in parts)
+    lines = [v for p in parts for batch in source.read(p) for v in batch["value"].to_pylist()]
+    assert sorted(lines) == sorted(b64encode(t.encode()).decode() for t in texts)
+
+
 def test_start_before_and_inside_gap(stream):
     stream.commit(T0, ["a"])
     stream.commit(T0 + 4 * ONE, ["b"])
