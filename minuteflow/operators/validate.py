@@ -17,13 +17,23 @@ def sequence_payload(seq: Column, sent_ms: Column, filler: Column) -> Column:
 
 
 def parse_sequence(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Add ``seq, sent_ms, filler, corrupt``. A part that cannot be read is NULL."""
-    parts = F.split(F.col(payload).cast("string"), DELIMITER)
+    """Add ``seq, sent_ms, filler, corrupt``. A part that cannot be read is NULL.
+
+    A payload that ends with the delimiter has no filler.
+    """
+    text = F.col(payload).cast("string")
+    after_seq = F.substring(text, F.locate(DELIMITER, text) + 2, F.length(text))
+    after_sent = F.substring(after_seq, F.locate(DELIMITER, after_seq) + 2, F.length(text))
+    both = (F.locate(DELIMITER, text) > 0) & (F.locate(DELIMITER, after_seq) > 0)
+    filler = F.nullif(F.substring_index(after_sent, DELIMITER, 1), F.lit(""))
     parsed = df.withColumns(
         {
-            "seq": F.get(parts, 0).try_cast("long"),
-            "sent_ms": F.get(parts, 1).try_cast("long"),
-            "filler": F.get(parts, 2),
+            "seq": F.substring_index(text, DELIMITER, 1).try_cast("long"),
+            "sent_ms": F.when(
+                F.locate(DELIMITER, text) > 0,
+                F.substring_index(after_seq, DELIMITER, 1).try_cast("long"),
+            ),
+            "filler": F.when(both, filler),
         }
     )
     broken = F.col("seq").isNull() | F.col("sent_ms").isNull() | F.col("filler").isNull()

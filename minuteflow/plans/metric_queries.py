@@ -132,8 +132,8 @@ def m3_consumer_stats(spark, sf_dir):
 @query(
     "m4_partition_stats",
     f"""SELECT cluster, collector, count(*) AS messages_read, count(*) AS messages_delivered,
-        CAST(0 AS BIGINT) AS errors, CASE WHEN bool_or(minute(block) < 4)
-        AND bool_or(minute(block) >= 4) THEN 1 ELSE 0 END AS switches_to_collector,
+        CAST(0 AS BIGINT) AS errors, CAST(CASE WHEN bool_or(minute(block) < 4)
+        AND bool_or(minute(block) >= 4) THEN 1 ELSE 0 END AS BIGINT) AS switches_to_collector,
         CAST(0 AS BIGINT) AS switches_to_committed
         FROM (SELECT * REPLACE ('c0' AS cluster) FROM {MESSAGES_SQL}) GROUP BY ALL""",
 )

@@ -282,7 +282,7 @@ def p14_rename_clusters(spark, sf_dir):
 
 @query(
     "p15_mark_and_reset",
-    f"""SELECT event_id, cluster, CASE WHEN minute(block) < 3 THEN 1 ELSE 2 END AS reads
+    f"""SELECT event_id, cluster, CAST(CASE WHEN minute(block) < 3 THEN 1 ELSE 2 END AS BIGINT) AS reads
         FROM {MESSAGES_SQL}""",
 )
 def p15_mark_and_reset(spark, sf_dir):

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -62,19 +60,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).parent
-        archive = shutil.make_archive(
-            f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name
-        )
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-    return spark

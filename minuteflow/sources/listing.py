@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from minuteflow.functions import filenames
 from minuteflow.operators.ranges import check_range, time_range
-from minuteflow.session import ship_package
 from minuteflow.sources import layout, storage
 from minuteflow.sources.minutes import inner_path, load_or_empty, minute_of_dir, path_below
 
@@ -116,7 +115,6 @@ def minute_dirs(
     hours between are spread over the executors, one listing per hour.
     """
     check_range(start, stop)
-    ship_package(spark)
     bounds = []
     for cluster, root in layout.named_roots(roots, stream_type).items():
         base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)

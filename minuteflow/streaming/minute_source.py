@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from minuteflow.functions import codec
-from minuteflow.session import ship_package
 from minuteflow.sources import layout, storage
 from minuteflow.streaming.lines import SCHEMA, line_batches, next_line_start
 
@@ -203,7 +202,6 @@ def stream_minutes(
     spark: SparkSession, roots: layout.Roots, topic: str, stream_type: str = "local", **options
 ) -> DataFrame:
     """Stream the messages of a topic, one complete minute after the other."""
-    ship_package(spark)
     spark.dataSource.register(MinuteSource)
     named = {
         cluster: storage.qualify(spark, root)

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from minuteflow.functions import codec
-from minuteflow.session import ship_package
 from minuteflow.sources import layout, storage
 from minuteflow.streaming.lines import SCHEMA, last_newline, line_batches, next_line_start
 
@@ -214,7 +213,6 @@ def stream_collectors(
     spark: SparkSession, roots: layout.Roots, topic: str, **options
 ) -> DataFrame:
     """Stream the messages of collector files while they grow, move and rotate."""
-    ship_package(spark)
     spark.dataSource.register(TailSource)
     named = {
         cluster: storage.qualify(spark, root)

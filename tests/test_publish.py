@@ -156,3 +156,27 @@ def test_stream_publish_appends_batches(spark, tmp_path):
         writer = writer.option("checkpointLocation", str(tmp_path / "ck"))
         writer.trigger(availableNow=True).start().awaitTermination()
     assert texts_of(read_messages(spark, str(tmp_path / "root"), "t")) == ["a0", "a1", "b0", "b1"]
+
+
+def test_hot_topic_is_split_over_files(spark, tmp_path):
+    """AQE cuts a topic that holds most rows; every row is written once."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(40_000, numPartitions=8).select(
+            F.when(F.col("id") % 10 == 0, F.concat(F.lit("t"), F.col("id") % 3)).otherwise("hot").alias("topic"),
+            F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("payload"),
+        )
+        minute = F.lit(T0.isoformat(" ")).cast("timestamp")
+        done = sink.publish(rows, str(tmp_path), minute=minute)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = {r.topic: r["count"] for r in done.files.groupBy("topic").count().collect()}
+    assert files["hot"] > 3 and max(files[t] for t in ("t0", "t1", "t2")) <= files["hot"]
+    hot = read_messages(spark, str(tmp_path), "hot")
+    assert hot.count() == 36_000 and hot.select("payload").distinct().count() == 36_000
