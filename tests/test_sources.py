@@ -93,7 +93,7 @@ def test_collectors_skip_open_and_stats_files(spark, stream):
     stream.collect(T0, ["a"])
     stream.collect(T0 + ONE, ["b"], collector="collector2")
     folder = stream.root / "data" / stream.topic / "collector1"
-    for name in (f"{stream.topic}_current", f"{stream.topic}_stats", "scribe_stats"):
+    for name in (f"{stream.topic}_current", f"{stream.topic}_stats", "collector_stats"):
         (folder / name).write_bytes(encoded(["no"]))
     rows = decode_messages(read_collectors(spark, str(stream.root), stream.topic))
     assert texts_of(rows) == ["a", "b"]
