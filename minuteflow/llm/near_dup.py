@@ -10,13 +10,14 @@ Equal sets are one node. Nodes that agree in all slots of a band are
 candidates; these are confirmed on their full sets, and linked nodes are
 united. First every member of a band's bucket is compared with the bucket's
 smallest node. Then, in buckets whose members are still in different groups, all
-pairs across groups are compared by signature, in blocks, and the likely ones
-confirmed. So a large group of copies costs one comparison per member and
-band, and no pair that shares a band is left out.
+pairs across groups are compared by parity sketches, in blocks, and those that
+may be linked are confirmed. A sketch has one bit per hash class of elements, set if
+the set has an odd number of them; two sketches differ in no more bits than the
+sets in elements, so no link is ruled out. A large group of copies
+costs one comparison per member and band, and no pair that shares a band is left out.
 
 With 32 bands of 4 slots a pair with 80 % common shingles shares no band with
-probability (1 - 0.8^4)^32 = 5e-8, and has a signature less than 55 % equal
-with a smaller one.
+probability (1 - 0.8^4)^32 = 5e-8.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ SHINGLE = 5
 PERCENT = 80
 BANDS = 32
 ROWS = 4
-LIKELY = 0.55
 BLOCK = 1_000
+_SKETCH_BITS = 2048
 _SETS_AT_ONCE = 500
 _EMPTY_SLOT = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GOLDEN_INT = 0x9E3779B97F4A7C15
@@ -85,6 +86,11 @@ def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
     return out.reshape(-1, size)
 
 
+def parity_sketch(elements: np.ndarray) -> bytes:
+    classes = (mixed(elements) % np.uint64(_SKETCH_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=_SKETCH_BITS) & 1).tobytes()
+
+
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A hash per signature and band; equal slots of one band give equal keys."""
     keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(signatures), 1))
@@ -100,7 +106,7 @@ _SIGNED = T.StructType(
         T.StructField("n_shingles", T.LongType()),
         T.StructField("node", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType(), False)),
-        T.StructField("mini", T.BinaryType()),
+        T.StructField("sketch", T.BinaryType()),
     ]
 )
 
@@ -112,7 +118,7 @@ def _with_row_key(docs: DataFrame) -> DataFrame:
 def signed(
     docs: DataFrame, length: int = SHINGLE, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """Per row its set's size, hash (``node``), band keys and one byte per slot (``mini``)."""
+    """Per row its set's size, hash (``node``), band keys and parity sketch."""
     schema = arrow_schema(_SIGNED)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +128,6 @@ def signed(
                 sets = [shingles(t, length) for t in text_bytes(batch.column(2))]
                 signatures = super_minhash(sets, bands * rows)
                 keys = band_keys(signatures, bands, rows).view(np.int64)
-                minis = mixed(signatures).astype(np.uint8)
                 nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 listed = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sets) + 1) * bands, pa.int32()),
@@ -135,7 +140,7 @@ def signed(
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.binary()),
                         listed.cast(schema.field("bands").type),
-                        pa.array([m.tobytes() for m in minis], pa.binary()),
+                        pa.array([parity_sketch(s) for s in sets], pa.binary()),
                     ],
                     schema=schema,
                 )
@@ -195,9 +200,11 @@ _LIKELY_PAIRS = T.StructType([T.StructField("a", T.BinaryType()), T.StructField(
 
 
 def _cross_pairs(
-    buckets: DataFrame, roots: DataFrame, minis: DataFrame, likely: float, block: int
+    buckets: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, block: int
 ) -> DataFrame:
-    """Likely pairs of nodes of different groups that share a bucket.
+    """Pairs of nodes of different groups that share a bucket and whose sketches allow a link.
+
+    A pair is given in the first band it shares, hence once.
 
     Buckets with one group need nothing. A large bucket is cut into blocks of about ``block`` nodes,
     and every pair of blocks is a task's group of its own.
@@ -207,17 +214,19 @@ def _cross_pairs(
     )
     open_ = (
         labelled.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
         .where("low != high")
-        .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        .select("key", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
     )
-    members = labelled.join(open_, "key").join(minis, "node")
+    members = labelled.join(open_, "key").join(sketches, "node")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = members.withColumn("own", own).select(
         "key",
         "node",
         "root",
-        "mini",
+        "sketch",
+        "n",
+        "bands",
         "own",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     )
@@ -225,7 +234,10 @@ def _cross_pairs(
         F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
         "node",
         "root",
-        "mini",
+        "sketch",
+        "n",
+        "bands",
+        "key",
     )
     sorted_ = dealt.repartition("task").sortWithinPartitions("task")
 
@@ -234,13 +246,20 @@ def _cross_pairs(
         names, codes = np.unique(roots_, return_inverse=True)
         if len(names) < 2:
             return
-        matrix = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
-        least = likely * matrix.shape[1]
+        matrix = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
+        sizes = np.array([r[4] for r in rows])
+        bands = np.array([r[5] for r in rows])
+        here = int(np.argmax(bands[0] == rows[0][6]))
         largest = np.bincount(codes).argmax()
         # Every pair across groups has a member outside the largest group.
         for i in np.flatnonzero(codes != largest):
-            alike = (matrix == matrix[i]).sum(1) >= least
-            for j in np.flatnonzero(alike & (codes != codes[i])):
+            apart = np.bitwise_count(matrix ^ matrix[i]).sum(1, dtype=np.int64)
+            apart = np.maximum(apart, np.abs(sizes - sizes[i]))
+            # With d elements apart, (n + m - d) / (n + m + d) is the share in common.
+            both = sizes + sizes[i]
+            may = 100 * (both - apart) >= percent * (both + apart)
+            may &= ~(bands[:, :here] == bands[i, :here]).any(1)
+            for j in np.flatnonzero(may & (codes != codes[i])):
                 if codes[j] == largest or j > i:
                     yield tuple(sorted((rows[i][1], rows[j][1])))
 
@@ -275,7 +294,6 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
-    likely: float = LIKELY,
     block: int = BLOCK,
 ) -> DataFrame:
     """Per row ``doc_id``, ``row_key``, ``n_shingles``, ``component_id`` and ``kept``.
@@ -293,7 +311,8 @@ def near_duplicates(
         F.min("doc_id").alias("first_id"),
         F.min("row_key").alias("row_key"),
         F.first("bands").alias("bands"),
-        F.first("mini").alias("mini"),
+        F.first("sketch").alias("sketch"),
+        F.first("n_shingles").alias("n"),
     )
     nodes = kept(nodes, "nodes")
     members = nodes.select("node", F.explode("bands").alias("key"))
@@ -302,7 +321,8 @@ def near_duplicates(
     pairs = kept(_star_pairs(buckets), "pairs")
     links = confirmed(pairs, nodes, docs, length, percent)
     roots = components(links)
-    across = _cross_pairs(buckets, roots, nodes.select("node", "mini"), likely, block)
+    sketches = nodes.select("node", "sketch", "n", "bands")
+    across = _cross_pairs(buckets, roots, sketches, percent, block)
     across = kept(across.join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
     if not across.isEmpty():
         more = confirmed(across, nodes, docs, length, percent)
