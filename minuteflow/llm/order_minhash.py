@@ -103,15 +103,19 @@ def fingerprint_column(text: Column, k: int = K, chosen: int = CHOSEN, size: int
 
 
 def hexed(sig: np.ndarray) -> str:
-    return sig.astype(">u4").tobytes().hex()
+    return packed(sig).hex()
+
+
+def packed(sig: np.ndarray) -> bytes:
+    return sig.astype(">u4").tobytes()
 
 
 _RESULT = [
     T.StructField("doc_id", T.LongType()),
     T.StructField("n_chars", T.LongType()),
-    T.StructField("edited_sha256", T.StringType()),
-    T.StructField("fingerprint", T.StringType()),
-    T.StructField("edited_fingerprint", T.StringType()),
+    T.StructField("edited_sha256", T.BinaryType()),
+    T.StructField("fingerprint", T.BinaryType()),
+    T.StructField("edited_fingerprint", T.BinaryType()),
     T.StructField("near_edited", T.DoubleType()),
     T.StructField("near_next", T.DoubleType()),
 ]
@@ -144,9 +148,9 @@ def compare_with_next(
         return (
             doc_id,
             len(text),
-            hashlib.sha256(changed.encode()).hexdigest(),
-            hexed(sig),
-            hexed(other),
+            hashlib.sha256(changed.encode()).digest(),
+            packed(sig),
+            packed(other),
             likeness(sig, other),
             likeness(sig, next_sig),
         )
@@ -182,7 +186,7 @@ def compare_with_next(
     tasks = [r.pid for r in edges.where("edge = 'first'").select("pid").orderBy("pid").collect()]
     done = walked.where("edge is null").select(*(f.name for f in _RESULT))
     if not tasks:
-        return done
+        return _in_hex(done)
     after = list(zip(tasks, tasks[1:] + tasks[:1], strict=True))
     follows = docs.sparkSession.createDataFrame(after, "pid long, next_pid long")
     ends = edges.where("edge = 'last'").select("pid", "doc_id", "text")
@@ -206,4 +210,10 @@ def compare_with_next(
             arrays = [pa.array(c, f.type) for c, f in zip(columns, own, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=own)
 
-    return done.unionByName(pairs.mapInArrow(finish, T.StructType(_RESULT)))
+    return _in_hex(done.unionByName(pairs.mapInArrow(finish, T.StructType(_RESULT))))
+
+
+def _in_hex(rows: DataFrame) -> DataFrame:
+    """Bytes as lowercase hex digits; the table between holds them as bytes, half as large."""
+    hexes = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in hexes})
