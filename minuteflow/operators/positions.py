@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from minuteflow.session import broadcast_if_small, stored
+from minuteflow.session import stored
 
 # Order of files inside a partition. Minute directories: directory, then
 # modification time, then name. Collector and stitched streams: file-name
@@ -49,7 +49,7 @@ def _rows_in_split(
 _row_in_split = F.arrow_udf(_rows_in_split, T.LongType()).asNondeterministic()
 
 
-def _split_offsets(lines: DataFrame, max_broadcast: int) -> DataFrame:
+def _split_offsets(lines: DataFrame) -> DataFrame:
     """Lines before each later split of a file, as a written table of one row per split.
 
     The offset of a split depends only on where it starts, so it holds however
@@ -70,20 +70,20 @@ def _split_offsets(lines: DataFrame, max_broadcast: int) -> DataFrame:
         F.col("split_start").alias("_start"),
         F.sum("_lines").over(earlier).alias("_before"),
     ).filter(F.col("_start") > 0)
-    return broadcast_if_small(stored(offsets, "split_offsets"), max_broadcast)
+    return stored(offsets, "split_offsets")
 
 
-def with_positions(lines: DataFrame, max_broadcast: int = 2_000_000) -> DataFrame:
+def with_positions(lines: DataFrame) -> DataFrame:
     """Add ``line_no``, from 1 in every file, to rows just scanned.
 
     A row's number in its file is its number in its split plus the lines of
     the file's earlier splits. The first is counted while the split is read;
     only the position columns go through Python. The second is counted once,
     when this is called, for files that can be split at all. Lines are neither
-    sorted nor gathered per file, and up to ``max_broadcast`` splits they are
-    not shuffled either.
+    sorted nor gathered per file, and while Spark finds the table of splits small
+    enough to broadcast they are not shuffled either.
     """
-    offsets = _split_offsets(lines, max_broadcast)
+    offsets = _split_offsets(lines)
     same_split = (F.col("file_path") == F.col("_path")) & (F.col("split_start") == F.col("_start"))
     first_split = F.col("split_start") == 0
     # Every later split that holds lines was counted, unless the file has changed.
@@ -112,7 +112,6 @@ def number_messages(
     df: DataFrame,
     stream_type: str = "local",
     max_messages: int | None = None,
-    max_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """Add ``message_no``, from 1 over the whole frame in stream order.
 
@@ -130,7 +129,7 @@ def number_messages(
     if max_messages is not None:
         starts = starts.filter(F.col("_before") < max_messages)
     starts = starts.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before", "_skipped")
-    starts = broadcast_if_small(stored(starts, "file_starts"), max_broadcast)
+    starts = stored(starts, "file_starts")
     same_file = F.lit(True)
     for k in keys:
         same_file = same_file & F.col(k).eqNullSafe(F.col(f"_{k}"))

@@ -77,13 +77,20 @@ def _drain(writer, spark, name: str) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-@query("k2_publish_stream", f"SELECT topic, event_id, ts_ms AS audit_ts FROM {MESSAGES_SQL}")
+@query(
+    "k2_publish_stream",
+    f"""SELECT topic, event_id, ts_ms AS audit_ts
+        FROM {MESSAGES_SQL}, (SELECT unnest([1, 2]) AS stream)""",
+)
 def k2_publish_stream(spark, sf_dir):
-    """Publish a stream; running its batches again adds nothing."""
+    """Publish two streams of one name; starting the first again adds nothing."""
     root = work_dir(spark, "streamed")
     stream = _event_stream(spark, sf_dir)
-    for attempt in ("first", "again"):
-        _drain(publish_stream(stream, root, "events", audit_ts="ts_ms"), spark, attempt)
+    first, second = work_dir(spark, "first"), work_dir(spark, "second")
+    for checkpoint in (first, first, second):
+        writer = publish_stream(stream, root, "events", audit_ts="ts_ms")
+        writer = writer.option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
     read = tables.message_fields(_read_topics(spark, root, TOPICS))
     return read.select("topic", "event_id", "audit_ts")
 

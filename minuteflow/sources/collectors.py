@@ -24,7 +24,7 @@ FILE_KEY = ["cluster", "collector", "file_minute", "file_id"]
 
 
 def _scan_root(spark, cluster, root, topic):
-    base = layout.stream_dir(storage.qualify(spark, root), topic, "collector")
+    base = layout.stream_dir(storage.existing(spark, root), topic, "collector")
     raw = load_or_empty(spark, "text", layout.range_path(base), {})
     file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
     below = decoded(path_below(file_path, inner_path(base)))

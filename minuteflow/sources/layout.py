@@ -88,13 +88,20 @@ def covering_dirs(start: datetime, stop: datetime) -> list[str]:
 
 
 def range_path(base: str, start: datetime | None = None, stop: datetime | None = None) -> str:
-    """A glob below ``base`` that matches only directories of the range."""
-    base = re.sub(r"([{}\[\]*?\\])", r"\\\1", base)
+    """A glob below ``base`` that matches only directories of the range.
+
+    An open end is the stream's own first or last minute, not a date of the clock.
+    """
+    plain, base = base, re.sub(r"([{}\[\]*?\\])", r"\\\1", base)
     if start is None and stop is None:
         return base
-    first = start or datetime(1970, 1, 1)
-    last = stop or datetime(utc_now().year, 12, 31, 23, 59)
-    dirs = covering_dirs(first, last)
+    if start is None or stop is None:
+        edge = edge_minute(plain, last=stop is None)
+        if edge is None:
+            return base
+        # A range beyond the stream is one directory that isn't there.
+        start, stop = (start, max(start, edge)) if stop is None else (min(edge, stop), stop)
+    dirs = covering_dirs(start, stop)
     if not dirs:
         raise ValueError("the range holds no minute")
     return f"{base}/{{{','.join(dirs)}}}" if len(dirs) > 1 else f"{base}/{dirs[0]}"

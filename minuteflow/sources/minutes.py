@@ -85,7 +85,7 @@ def minute_of_dir(file_dir: Column) -> Column:
 
 
 def _scan_root(spark, cluster, root, topic, stream_type, fmt, start, stop, group, options, schema):
-    base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)
+    base = layout.stream_dir(storage.existing(spark, root), topic, stream_type)
     raw = load_or_empty(spark, fmt, layout.range_path(base, start, stop), options, schema)
     values = [c for c in raw.columns if c != "_metadata"]
     file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))

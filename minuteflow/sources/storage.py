@@ -50,6 +50,14 @@ def exists(path: str) -> bool:
     return filesystem.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def existing(spark: SparkSession, root: str) -> str:
+    """A qualified root; a topic or a minute may be absent, a root must be there."""
+    path = qualify(spark, root)
+    if not exists(path):
+        raise FileNotFoundError(f"no stream root {root}")
+    return path
+
+
 def make_dir(path: str) -> None:
     filesystem, inner = open_fs(path)
     filesystem.create_dir(inner, recursive=True)

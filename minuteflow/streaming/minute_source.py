@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from minuteflow.functions import codec
+from minuteflow.operators.ranges import parse_group
 from minuteflow.sources import layout, storage
 from minuteflow.streaming.lines import SCHEMA, line_batches, next_line_start
 
@@ -80,7 +81,7 @@ class MinuteReader(DataSourceStreamReader):
         self.start = options.get("start")
         self.stop = options.get("stop")
         self.limit = int(options.get("maxminutesperbatch", 0))
-        self.group = options.get("group")
+        self.group = parse_group(options["group"]) if options.get("group") else None
         self.cursor: dict[str, str] | None = None
 
     def _base(self, cluster: str) -> str:
@@ -153,7 +154,7 @@ class MinuteReader(DataSourceStreamReader):
     def _owned(self, minute: datetime) -> bool:
         if not self.group:
             return True
-        number, total = (int(part) for part in self.group.split("/"))
+        number, total = self.group
         return minute.minute % total == number - 1
 
     def _parts(self, cluster: str, minute: str) -> list[MinuteFiles]:

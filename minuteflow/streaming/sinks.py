@@ -12,17 +12,27 @@ from minuteflow.sources.publish import publish
 def publish_stream(df: DataFrame, root: str, query: str, **kwargs) -> DataStreamWriter:
     """A writer that publishes every micro-batch.
 
-    The batch id is the tag of its commit. A batch that runs again after a
-    failure repeats the same renames or does nothing, so each is stored once.
+    The tag of a commit is the id of the streaming query, which its checkpoint
+    keeps, and the batch id. A batch that runs again after a failure repeats the
+    same renames or does nothing, so each is stored once; another query or a new
+    checkpoint adds its own rows, whatever its name.
     Set ``checkpointLocation`` and a trigger, then start it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, root, tag=f"{query}-{batch_id:010d}", **kwargs)
+        publish(batch, root, tag=_tag(batch, query, batch_id), **kwargs)
 
     return df.writeStream.queryName(query).foreachBatch(write)
 
 
+def _tag(batch: DataFrame, query: str, batch_id: int) -> str:
+    # Spark sets the property for the thread that runs a stream's batches.
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("a batch outside a streaming query has no id to be stored under")
+    return f"{query}-{run}-{batch_id:010d}"
+
+
 def audit_stream(
     df: DataFrame,
     root: str,
@@ -47,7 +57,9 @@ def audit_stream(
             F.lit(audit.AUDIT_TOPIC).alias("topic"),
             F.to_json(F.struct("*")).cast("binary").alias("payload"),
         )
-        publish(lines, root, tag=f"{query}-{batch_id:010d}", **kwargs)
+        done = publish(lines, root, tag=_tag(batch, query, batch_id), **kwargs)
+        if done.rejected:
+            raise ValueError(f"{done.rejected} audit packets are larger than a message may be")
 
     return df.writeStream.queryName(query).foreachBatch(write)
 

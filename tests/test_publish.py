@@ -9,7 +9,7 @@ from minuteflow.operators import ranges
 from minuteflow.sources import layout
 from minuteflow.sources.collectors import read_collectors
 from minuteflow.sources.listing import minute_dirs
-from minuteflow.sources.minutes import decode_messages, read_messages
+from minuteflow.sources.minutes import decode_messages, read_messages, read_minutes
 from minuteflow.streaming.sinks import publish_stream
 
 T0 = datetime(2024, 3, 1, 10, 0)
@@ -180,3 +180,24 @@ def test_hot_topic_is_split_over_files(spark, tmp_path):
     assert files["hot"] > 3 and max(files[t] for t in ("t0", "t1", "t2")) <= files["hot"]
     hot = read_messages(spark, str(tmp_path), "hot")
     assert hot.count() == 36_000 and hot.select("payload").distinct().count() == 36_000
+
+
+def test_streams_of_one_name_each_add_their_rows(spark, tmp_path):
+    """A batch under the same checkpoint is stored once, another checkpoint's batch beside it."""
+    source, root = tmp_path / "in", tmp_path / "root"
+    rows = spark.range(5).selectExpr("'t' AS topic", "CAST(id AS string) AS payload")
+    rows.write.parquet(str(source))
+
+    def run(checkpoint):
+        stream = spark.readStream.schema("topic string, payload string").parquet(str(source))
+        stream = stream.selectExpr("topic", "CAST(payload AS binary) AS payload")
+        writer = publish_stream(stream, str(root), "q")
+        writer = writer.option("checkpointLocation", str(tmp_path / checkpoint))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return read_minutes(spark, str(root), "t", "local").count()
+
+    assert run("one") == 5
+    for name in ("0", ".0.crc"):  # as if the driver had died before it noted the commit
+        (tmp_path / "one" / "commits" / name).unlink(missing_ok=True)
+    assert run("one") == 5
+    assert run("two") == 10

@@ -161,3 +161,21 @@ def test_names_that_need_escaping(spark, tmp_path):
     assert [f.minute for f in list_files(spark, root, odd.topic).collect()] == [T0]
     rows = decode_messages(read_stitched(spark, root, odd.topic))
     assert texts_of(rows) == ["committed", "in flight"]
+
+
+def test_open_end_is_the_streams_own_last_minute(spark, stream):
+    """Neither the clock's year nor 1970 bounds a range that is open."""
+    stream.commit(datetime(2031, 12, 31, 23, 59), ["a"])
+    stream.commit(datetime(2033, 1, 2, 3, 4), ["b"])
+    root = str(stream.root)
+    read = lambda **k: read_minutes(spark, root, stream.topic, "local", **k).count()
+    assert read() == read(start=datetime(2020, 1, 1)) == read(stop=datetime(2040, 1, 1)) == 2
+    assert read(start=datetime(2032, 1, 1)) == read(stop=datetime(2032, 1, 1)) == 1
+    assert read(start=datetime(2034, 1, 1)) == read(stop=datetime(2030, 1, 1)) == 0
+
+
+def test_absent_root_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_minutes(spark, str(tmp_path / "mistyped"), "t", "local")
+    with pytest.raises(FileNotFoundError):
+        read_collectors(spark, str(tmp_path / "mistyped"), "t")
