@@ -16,6 +16,8 @@ is ``\\4``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from minuteflow.llm.common import kept
@@ -72,7 +74,7 @@ def leaf_paths(links: DataFrame) -> DataFrame:
     ``links`` has ``tree``, ``node`` and ``parent`` (null at roots). Each round joins
     the path rows with the links of reach 2^k, and the links with themselves,
     until no link is that long: as many rounds as the depth has binary digits.
-    The rows at the end are those of all paths. A parent that is not a message
+    Each round adds the rows it reaches, and each row is made once. A parent that is not a message
     of its tree ends a path as a root does; links in a circle have no leaf.
     """
     links = links.select("tree", "node", "parent").distinct()
@@ -81,7 +83,8 @@ def leaf_paths(links: DataFrame) -> DataFrame:
     # Null trees are a tree of their own, so the joins are null-safe.
     same = lambda a, b, x, y: a["tree"].eqNullSafe(b["tree"]) & (a[x] == b[y])
     leaves = own.join(parents, same(own, parents, "node", "node"), "left_anti")
-    paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up"))
+    leaves = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up"))
+    paths = [kept(leaves, "leaves")]
     there = own.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     jumps = links.where("parent is not null").join(
         there, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n")), "left_semi"
@@ -90,14 +93,13 @@ def leaf_paths(links: DataFrame) -> DataFrame:
     reach = 1
     while not jumps.isEmpty():
         step = jumps.select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
-        longer = paths.join(
-            step, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left"
+        longer = reduce(DataFrame.unionByName, paths).join(
+            step, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
+        )
+        longer = longer.select(
+            "tree", "leaf", F.col("above").alias("node"), (F.col("up") + reach).alias("up")
         )
-        here = F.struct(F.col("node"), F.col("up"))
-        there = F.struct(F.col("above").alias("node"), (F.col("up") + reach).alias("up"))
-        both = F.when(F.col("above").isNull(), F.array(here)).otherwise(F.array(here, there))
-        paths = longer.select("tree", "leaf", F.explode(both).alias("at"))
-        paths = kept(paths.select("tree", "leaf", "at.node", "at.up"), f"paths-{reach}")
+        paths.append(kept(longer, f"paths-{reach}"))
         # A jump of twice the reach: from a node to what its own jump's end jumps to.
         ends = jumps.select(
             F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("far")
@@ -107,7 +109,7 @@ def leaf_paths(links: DataFrame) -> DataFrame:
         ).select("tree", "node", F.col("far").alias("above"))
         reach *= 2
         jumps = kept(jumps, f"jumps-{reach}")
-    return paths
+    return reduce(DataFrame.unionByName, paths)
 
 
 def chosen_paths(messages: DataFrame, top: int = TOP_BRANCHES) -> DataFrame:
