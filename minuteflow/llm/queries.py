@@ -16,6 +16,7 @@ from minuteflow.llm import (
     quality,
     sharding,
     substring_dedup,
+    warc,
 )
 from minuteflow.llm.common import table
 
@@ -45,6 +46,19 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audited = warc.audited_pages(table(spark, sf_dir, "pages"))
+    return audited.select(
+        "page_id",
+        "archive",
+        "start",
+        "length",
+        F.lower(F.hex("digest")).alias("record_sha256"),
+        F.lower(F.hex("copy_digest")).alias("copy_sha256"),
+        "status",
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -95,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op3_order_minhash,
         op4_sharding,
         op5_line_dedup,
+        op6_warc_fixity,
         op7_mixing,
         op8_packing,
         op9_chat_formatting,
@@ -132,6 +147,27 @@ SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.key IS NULL), ''))
          AS kept_sha256
 FROM x LEFT JOIN f USING (key) GROUP BY doc_id""",
+    "op6_warc_fixity": rf"""
+WITH r AS (SELECT page_id,
+                  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+                  || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
+                  || 'WARC-Date: {warc.CAPTURED}' || chr(13) || chr(10)
+                  || 'WARC-Target-URI: ' || translate(coalesce(url, ''), chr(13) || chr(10), '') || chr(13) || chr(10)
+                  || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10)
+                  || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+           FROM pages),
+     h AS (SELECT *, CAST(octet_length(encode(record)) AS BIGINT) AS length, sha256(record) AS record_sha256 FROM r),
+     c AS (SELECT *, CASE WHEN record_sha256 < '04' THEN left(record, length(record) - 1) || 'X'
+                          WHEN record_sha256 < '06' THEN left(record, length(record) // 2)
+                          WHEN record_sha256 >= '08' THEN record END AS copy FROM h),
+     b AS (SELECT *, sum(length) OVER (ORDER BY page_id NULLS FIRST, record_sha256 ROWS UNBOUNDED PRECEDING)
+                     - length AS before FROM c),
+     n AS (SELECT *, CAST(before // {warc.ARCHIVE_BYTES} AS BIGINT) AS number FROM b)
+SELECT page_id, 'pages-' || number || '.warc' AS archive,
+       CAST(before - min(before) OVER (PARTITION BY number) AS BIGINT) AS start, length,
+       record_sha256, sha256(copy) AS copy_sha256,
+       CASE WHEN copy IS NULL THEN 'missing' WHEN copy = record THEN 'same' ELSE 'altered' END AS status
+FROM n""",
     "op9_chat_formatting": r"""
 WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
