@@ -2,50 +2,138 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from minuteflow.functions import filenames
 from minuteflow.operators.ranges import check_range, time_range
+from minuteflow.session import stored
 from minuteflow.sources import layout, storage
-from minuteflow.sources.listing import list_files
-from minuteflow.sources.minutes import (
-    POSITION_COLUMNS,
-    decoded,
-    inner_path,
-    load_or_empty,
-    path_below,
-    read_minutes,
-)
+from minuteflow.sources.listing import located_files
+from minuteflow.sources.minutes import POSITION_COLUMNS, inner_path, path_below, read_minutes
+from minuteflow.streaming.lines import file_lines, last_newline, next_line_start
+from minuteflow.streaming.tail_source import committed_files
 
 FILE_KEY = ["cluster", "collector", "file_minute", "file_id"]
 
 
-def _scan_root(spark, cluster, root, topic):
-    base = layout.stream_dir(storage.existing(spark, root), topic, "collector")
-    raw = load_or_empty(spark, "text", layout.range_path(base), {})
-    file_path, name = F.col("_metadata.file_path"), decoded(F.col("_metadata.file_name"))
-    below = decoded(path_below(file_path, inner_path(base)))
-    out = raw.select(
-        F.lit(topic).alias("topic"),
-        F.lit("collector").alias("stream_type"),
-        F.lit(cluster).alias("cluster"),
-        F.substring_index(below, "/", 1).alias("collector"),
-        F.lit(None).cast("timestamp").alias("minute"),
-        filenames.file_minute_of(name).alias("file_minute"),
-        filenames.file_id_of(name).alias("file_id"),
-        F.lit(None).cast("string").alias("file_dir"),
-        name.alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        file_path.alias("file_path"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        "value",
-    )
-    open_file = F.col("file_name").endswith("_current") | F.col("file_name").endswith("_stats")
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where the last whole line of each file ends now; a file that has moved ends at its length."""
+    for batch in batches:
+        ends = []
+        for row in batch.select(["path", "length"]).to_pylist():
+            try:
+                ends.append(last_newline(row["path"], 0))
+            except FileNotFoundError:
+                ends.append(row["length"])
+        yield batch.append_column("end", pa.array(ends, pa.int64()))
+
+
+def in_flight_files(
+    spark: SparkSession,
+    roots: layout.Roots,
+    topic: str,
+    start: datetime | None = None,
+    stop: datetime | None = None,
+) -> DataFrame:
+    """A written table with one row per collector file that has a whole line.
+
+    It holds the position columns and ``end``, the offset after the last newline.
+    Whatever reads by this table reads the same lines, however the files grow.
+    """
+    named = layout.named_roots(roots, "collector")
+    bases = {
+        cluster: layout.stream_dir(storage.existing(spark, root), topic, "collector")
+        for cluster, root in named.items()
+    }
+    below = F.lit(None).cast("string")
+    root_of = F.lit(None).cast("string")
+    for cluster, base in bases.items():
+        here = F.col("cluster") == cluster
+        inner = inner_path(base, encoded=False)
+        below = F.when(here, path_below(F.col("path"), inner)).otherwise(below)
+        root_of = F.when(here, F.lit(storage.qualify(spark, named[cluster]))).otherwise(root_of)
+    listed = located_files(spark, roots, topic, "collector", start, stop)
     direct = F.concat_ws("/", "collector", "file_name") == below
-    return out.filter(~open_file & F.col("file_minute").isNotNull() & direct)
+    files = listed.filter(direct).select(
+        "topic", "stream_type", "cluster", "collector", "minute", "file_minute", "file_id",
+        "file_dir", "file_name", F.col("mtime").alias("file_mtime"), "path", "length",
+        root_of.alias("root"),
+    )
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    ended = files.mapInArrow(_with_end, f"{kinds}, end long")
+    return stored(ended.filter("end > 0"), "in_flight")
+
+
+def _lines_in(path: str, begin: int, stop: int, end: int) -> Iterator[list[bytes]]:
+    """Lines that start at ``begin`` or later and before ``stop``."""
+    first = next_line_start(path, begin, end) if begin else 0
+    last = next_line_start(path, stop, end) if stop < end else end
+    if first < last:
+        yield from file_lines(path, first, last, closed=False)
+
+
+def _lines_of_copy(path: str, begin: int, stop: int, end: int) -> Iterator[list[bytes]]:
+    """The same lines of a copy that may be compressed, by reading up to them."""
+    at = 0
+    for lines in file_lines(path, 0, end, closed=False):
+        inside = []
+        for line in lines:
+            if begin <= at < stop:
+                inside.append(line)
+            at += len(line) + 1
+        if inside:
+            yield inside
+        if at >= stop:
+            return
+
+
+def _range_lines(row: dict, stop: int) -> Iterator[list[bytes]]:
+    started = False
+    try:
+        for lines in _lines_in(row["path"], row["begin"], stop, row["end"]):
+            started = True
+            yield lines
+    except FileNotFoundError:
+        if started:
+            raise
+        # Committed since the files were listed: same bytes, other place.
+        moved = committed_files(row["root"], row["topic"], row["file_minute"].replace(tzinfo=None))
+        path = moved.get(row["collector"], {}).get(row["file_name"])
+        if path is None:
+            raise
+        yield from _lines_of_copy(path, row["begin"], stop, row["end"])
+
+
+def _scan(files: DataFrame) -> DataFrame:
+    """Lines of ``in_flight_files``, by ranges of about a split's size."""
+    spark = files.sparkSession
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    total = files.agg(F.sum("end")).first()[0] or 0
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-total // size))
+    zero, step = F.lit(0).cast("long"), F.lit(size).cast("long")
+    ranges = (
+        files.withColumn("begin", F.explode(F.sequence(zero, F.col("end") - 1, step)))
+        .withColumns({"file_path": F.col("path"), "split_start": F.col("begin")})
+        .repartition(tasks)
+    )
+    kinds = ", ".join(
+        f"`{c}` {ranges.schema[c].dataType.simpleString()}" for c in POSITION_COLUMNS
+    )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, row in enumerate(batch.to_pylist()):
+                for lines in _range_lines(row, min(row["begin"] + size, row["end"])):
+                    values = [x.decode("utf-8", "replace").rstrip("\r") for x in lines]
+                    same = [pa.repeat(batch.column(c)[k], len(values)) for c in POSITION_COLUMNS]
+                    yield pa.RecordBatch.from_arrays(
+                        [*same, pa.array(values, pa.string())], names=[*POSITION_COLUMNS, "value"]
+                    )
+
+    return ranges.mapInArrow(read, f"{kinds}, value string")
 
 
 def read_collectors(
@@ -55,13 +143,12 @@ def read_collectors(
     start: datetime | None = None,
     stop: datetime | None = None,
 ) -> DataFrame:
-    """Lines of ``<root>/data/<topic>/<collector>/<file>``; time is the file-name minute."""
+    """Lines of ``<root>/data/<topic>/<collector>/<file>``; time is the file-name minute.
+
+    The end of every file is fixed when this is called, after its last whole line.
+    """
     check_range(start, stop)
-    frames = [
-        _scan_root(spark, cluster, root, topic)
-        for cluster, root in layout.named_roots(roots, "collector").items()
-    ]
-    return time_range(reduce(DataFrame.unionByName, frames), start, stop, axis="file_minute")
+    return _scan(in_flight_files(spark, roots, topic, start, stop))
 
 
 def read_stitched(
@@ -71,36 +158,31 @@ def read_stitched(
     local: bool = True,
     start: datetime | None = None,
     stop: datetime | None = None,
-    max_pruned: int = 10_000,
+    where: Column | None = None,
 ) -> DataFrame:
     """Collector files and their committed copies, each file once.
 
-    A file present in both places is read from its committed copy. The files
-    caught in both places are found on file lists. Up to ``max_pruned`` of them
-    are excluded when the input is listed; above that an anti-join drops their
-    lines.
+    Collector files are listed first, committed ones second, and a file in both
+    lists is read from its committed copy. One that is moved later is followed to
+    its copy when it is read. ``where`` leaves out files, by the columns of ``FILE_KEY``.
     """
-    in_flight = read_collectors(spark, roots, topic, start, stop)
+    check_range(start, stop)
+    files = in_flight_files(spark, roots, topic, start, stop)
+    files = files if where is None else files.filter(where)
     if not local:
-        return in_flight
+        return _scan(files)
     # A file is committed to its own minute or a later one, so only the lower
     # bound can prune directories; the file-name minute decides.
     committed = read_minutes(spark, roots, topic, "local", start=start)
     committed = time_range(committed, start, stop, axis="file_minute")
-    waiting = list_files(spark, roots, topic, "collector", start, stop)
-    # Copies lie in minutes not before their file's, so older ones need no listing.
-    oldest = waiting.agg(F.date_format(F.min("file_minute"), "yyyy-MM-dd HH:mm")).first()[0]
-    if oldest is None:
-        return committed.select(*POSITION_COLUMNS, "value")
-    copies = list_files(spark, roots, topic, "local", start=datetime.fromisoformat(oldest))
-    moved = waiting.join(copies, FILE_KEY, "left_semi").select(*FILE_KEY)
-    key = F.concat_ws(
-        "/", "cluster", "collector", F.date_format("file_minute", "yyyyMMddHHmm"), "file_id"
-    )
-    head = moved.select(key.alias("key")).limit(max_pruned + 1).collect()
-    if len(head) > max_pruned:
-        in_flight = in_flight.join(moved, FILE_KEY, "left_anti")
-    elif head:
-        in_flight = in_flight.filter(~key.isin([row.key for row in head]))
+    committed = committed if where is None else committed.filter(where)
     columns = [*POSITION_COLUMNS, "value"]
-    return committed.select(*columns).unionByName(in_flight.select(*columns))
+    oldest = files.agg(F.date_format(F.min("file_minute"), "yyyy-MM-dd HH:mm")).first()[0]
+    if oldest is None:
+        return committed.select(*columns)
+    # Copies lie in minutes not before their file's. They are asked of the scan
+    # itself, so the scan and this list can't differ.
+    recent = committed.filter(F.col("minute") >= F.lit(oldest).cast("timestamp"))
+    copies = recent.select(*FILE_KEY).distinct()
+    waiting = stored(files.join(copies, FILE_KEY, "left_anti"), "waiting")
+    return committed.select(*columns).unionByName(_scan(waiting).select(*columns))

@@ -31,6 +31,18 @@ def list_files(
 
     Uses the ``binaryFile`` reader without its content column, so no file is opened.
     """
+    return located_files(spark, roots, topic, stream_type, start, stop).drop("path")
+
+
+def located_files(
+    spark: SparkSession,
+    roots: layout.Roots,
+    topic: str,
+    stream_type: str = "local",
+    start: datetime | None = None,
+    stop: datetime | None = None,
+) -> DataFrame:
+    """``list_files`` with the ``path`` of each file."""
     check_range(start, stop)
     frames = []
     for cluster, root in layout.named_roots(roots, stream_type).items():
@@ -65,6 +77,7 @@ def list_files(
                 name.alias("file_name"),
                 "length",
                 F.col("modificationTime").alias("mtime"),
+                "path",
             )
         )
     files = reduce(DataFrame.unionByName, frames)

@@ -101,14 +101,13 @@ def test_collectors_skip_open_and_stats_files(spark, stream):
     assert texts_of(decode_messages(early)) == ["a"]
 
 
-@pytest.mark.parametrize("max_pruned", [10_000, 0])
-def test_stitching_reads_each_file_once(spark, stream, max_pruned):
+def test_stitching_reads_each_file_once(spark, stream):
     stream.commit(T0 + ONE, ["moved"], file_minute=T0)
     stream.commit(T0 + 2 * ONE, ["both"], file_minute=T0 + ONE)
     stream.collect(T0 + ONE, ["both"])
     stream.collect(T0 + 2 * ONE, ["new"])
     stream.collect(T0 + ONE, ["other"], collector="collector2")
-    rows = read_stitched(spark, str(stream.root), stream.topic, max_pruned=max_pruned)
+    rows = read_stitched(spark, str(stream.root), stream.topic)
     assert texts_of(decode_messages(rows)) == ["both", "moved", "new", "other"]
     late = read_stitched(spark, str(stream.root), stream.topic, start=T0 + ONE, stop=T0 + ONE)
     assert texts_of(decode_messages(late)) == ["both", "other"]
@@ -116,6 +115,40 @@ def test_stitching_reads_each_file_once(spark, stream, max_pruned):
     assert texts_of(decode_messages(alone)) == ["both", "new", "other"]
 
 
+def test_a_line_still_being_written_waits(spark, stream):
+    path = stream.collect(T0, ["first", "second"])
+    whole = encoded(["third"])
+    with path.open("ab") as out:
+        out.write(whole[:4])
+    only = stream.collector_file(T0 + ONE)
+    only.write_bytes(whole[:4])
+    before = read_collectors(spark, str(stream.root), stream.topic)
+    assert texts_of(decode_messages(before)) == ["first", "second"]
+    with path.open("ab") as out:
+        out.write(whole[4:] + encoded(["fourth"]))
+    # The first read has its end fixed; a new one sees whole lines.
+    assert texts_of(decode_messages(before)) == ["first", "second"]
+    after = read_stitched(spark, str(stream.root), stream.topic)
+    assert texts_of(decode_messages(after)) == ["first", "fourth", "second", "third"]
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_files_that_move_after_the_listing(spark, stream, keep):
+    """Copied, or moved, once the read is planned: every line once, also across ranges."""
+    texts = [f"m{i:04d}" for i in range(500)]
+    path = stream.collect(T0, texts)
+    stream.commit(T0, ["old"], file_minute=T0 - ONE)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = read_stitched(spark, str(stream.root), stream.topic)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    stream.commit(T0 + ONE, texts, file_minute=T0)
+    if not keep:
+        path.unlink()
+    assert texts_of(decode_messages(lines)) == [*texts, "old"]
+
+
 def test_line_numbers_across_splits(spark, stream):
     sizes = {0: 5000, 1: 1, 2: 700}
     for number, n in sizes.items():
