@@ -133,16 +133,20 @@ class Consumer:
     def _unread(self, plan: _Plan, until: datetime | None) -> DataFrame:
         """Unread lines with positions, of minutes up to ``until``."""
         on = partition_key(self.stream_type)
+        unread = None
+        if self._checkpoint is not None:
+            unread = cp.unread_files(self._checkpoint, self.stream_type)
         if self._by_minute:
             lines = read_minutes(
                 self.spark, self.roots, self.topic, self.stream_type,
                 start=self._since, stop=until, group=self.group,
             )
+            lines = lines if unread is None else lines.filter(unread)
             lines, axis = ranges.gate(lines, plan.bounds), "minute"
         else:
             local = self.stream_type == "stitched"
             lines, axis = read_stitched(
-                self.spark, self.roots, self.topic, local, start=self._since, stop=until
+                self.spark, self.roots, self.topic, local, self._since, until, where=unread
             ), "file_minute"
         lines = with_positions(lines)
         if self._checkpoint is None:

@@ -72,6 +72,51 @@ def _beyond(key: Column, line_no: Column) -> Column:
     return (line != FULLY_READ) & (file.isNull() | after)
 
 
+def unread_files(checkpoint: DataFrame, stream_type: str = "local") -> Column:
+    """False for files that lie wholly before the checkpoint.
+
+    Only columns of the file are used, so filtered right above a scan it keeps
+    Spark from opening them; ``resume`` then cuts the file of the position. The driver
+    takes one row per partition: 60 per cluster, or one per collector.
+    """
+    text = "yyyy-MM-dd HH:mm:ss"
+    on = "minute_of_hour" if _keyed_by_minute(stream_type) else "collector"
+    marks = (
+        checkpoint.filter("minute is not null")
+        .select(
+            F.concat("cluster", F.lit("/"), F.col(on).cast("string")).alias("key"),
+            "cluster",
+            F.date_format("minute", text).alias("minute"),
+            (F.col("line_no") == FULLY_READ).alias("whole"),
+        )
+        .filter("key is not null")
+        .collect()
+    )
+    if not marks:
+        return F.lit(True)
+
+    def found(key: Column, pairs: dict) -> Column:
+        literals = [F.lit(x) for pair in pairs.items() for x in pair]
+        return F.try_element_at(F.create_map(*literals), key).cast("timestamp")
+
+    if not _keyed_by_minute(stream_type):
+        mark = found(F.concat("cluster", F.lit("/"), "collector"), {m.key: m.minute for m in marks})
+        return F.coalesce(F.col("file_minute") >= mark, F.lit(True))
+    key = F.concat("cluster", F.lit("/"), F.minute("minute").cast("string"))
+    # The first minute of which something may be unread.
+    onward = {
+        m.key: str(datetime.fromisoformat(m.minute) + timedelta(minutes=int(m.whole)))
+        for m in marks
+    }
+    least: dict[str, str] = {}
+    for m in marks:
+        least[m.cluster] = min(m.minute, least.get(m.cluster, m.minute))
+    begin = found(F.col("cluster"), least)
+    return F.coalesce(F.col("minute") >= begin, F.lit(True)) & F.coalesce(
+        F.col("minute") >= found(key, onward), F.lit(True)
+    )
+
+
 def resume(df: DataFrame, checkpoint: DataFrame, stream_type: str = "local") -> DataFrame:
     """Keep the rows a consumer has not read yet.
 

@@ -117,15 +117,27 @@ def number_messages(
 
     Order: minute, cluster, file and line; or collector, file and line. Lines
     are counted per file, once, when this is called. Only these counts are put
-    in order, so the rows themselves are never sorted. ``max_messages`` leaves
-    out later files.
+    in order, by ranges, so the rows themselves are never sorted and no task has
+    all files. ``max_messages`` leaves out later files. A file's lines must be
+    without gaps; other frames raise.
     """
     keys = _stream_order(stream_type)
+    n, first, last = F.count(F.lit(1)), F.min("line_no"), F.max("line_no")
+    gaps = F.raise_error(F.lit("lines were filtered out within a file")).cast("long")
     files = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), (F.min("line_no") - 1).alias("_skipped")
+        F.when(last - first + 1 == n, n).otherwise(gaps).alias("_n"),
+        (first - 1).alias("_skipped"),
+    )
+    dealt = files.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    dealt = stored(dealt, "files_in_order")
+    # One row per range, as many as shuffle partitions.
+    sums = dealt.groupBy("_range").agg(F.sum("_n").alias("_sum"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    own = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.join(bases, "_range").withColumn(
+        "_before", F.col("_base") + F.coalesce(F.sum("_n").over(own), F.lit(0))
     )
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if max_messages is not None:
         starts = starts.filter(F.col("_before") < max_messages)
     starts = starts.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before", "_skipped")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from minuteflow.operators import checkpoint as cp
 from minuteflow.operators import metrics
 from minuteflow.plans import tables
-from minuteflow.plans.position_queries import CHECKPOINT_SQL, MINUTE, _middle_checkpoint
+from minuteflow.plans.position_queries import CHECKPOINT_SQL, MINUTE, _whole_checkpoint
 from minuteflow.plans.registry import LOG_SQL, MESSAGES_SQL, query
 from minuteflow.sources.collectors import read_stitched
 from minuteflow.sources.minutes import decode_messages
@@ -96,11 +96,11 @@ def m1_backlog_in_flight(spark, sf_dir):
     f"""SELECT cluster, strftime(max(minute) FILTER (line_no = -1), '%Y-%m-%d %H:%M')
           AS latest_minute,
         coalesce(date_diff('minute', max(minute) FILTER (line_no = -1),
-                 TIMESTAMP '2024-01-16 12:00:00'), -1) AS lag_minutes
+                 TIMESTAMP '2024-01-31 12:00:00'), -1) AS lag_minutes
         FROM {CHECKPOINT_SQL} GROUP BY cluster""",
 )
 def m2_directory_lag(spark, sf_dir):
-    lag = metrics.directory_lag(_middle_checkpoint(spark, sf_dir), datetime(2024, 1, 16, 12))
+    lag = metrics.directory_lag(_whole_checkpoint(spark, sf_dir), datetime(2024, 1, 31, 12))
     return lag.select(
         "cluster", F.date_format("latest_minute", MINUTE).alias("latest_minute"), "lag_minutes"
     )

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from minuteflow.consumer import Consumer
 from minuteflow.operators import checkpoint as cp
 from minuteflow.operators import ranges
 from minuteflow.operators.positions import consume, with_positions
@@ -19,7 +20,7 @@ MINUTE = "yyyy-MM-dd HH:mm"
 MIDDLE = datetime(2024, 1, 16)
 RANGE = (datetime(2024, 1, 10, 6, 30, 20), datetime(2024, 1, 12, 18, 45, 5))
 
-# Checkpoint of everything before the middle of the month, as SQL.
+# Checkpoint of all messages, as SQL.
 CHECKPOINT_SQL = f"""(
   SELECT cluster, minute(minute) AS minute_of_hour, max(minute) AS minute,
          arg_max(file_name, (minute, file_name, event_id)) AS file_name,
@@ -27,7 +28,7 @@ CHECKPOINT_SQL = f"""(
               ELSE arg_max(event_id + 1, (minute, file_name, event_id)) END AS line_no
   FROM (SELECT *, collector || '-events-' || strftime(minute, '%Y-%m-%d-%H-%M') || '_00000.gz'
                AS file_name FROM {MESSAGES_SQL})
-  WHERE ts < TIMESTAMP '2024-01-16' GROUP BY cluster, minute(minute))"""
+  GROUP BY cluster, minute(minute))"""
 
 
 def _before_middle(df: DataFrame) -> DataFrame:
@@ -42,6 +43,14 @@ def _middle_checkpoint(spark, sf_dir) -> DataFrame:
     return cp.load_checkpoint(spark, store, "consumer", tables.TOPIC)
 
 
+def _whole_checkpoint(spark, sf_dir) -> DataFrame:
+    """The checkpoint after all messages, as a stored table."""
+    store = work_dir(spark, "checkpoints")
+    built = cp.build_checkpoint(tables.positioned(spark, sf_dir))
+    cp.save_checkpoint(built, store, "consumer", tables.TOPIC)
+    return cp.load_checkpoint(spark, store, "consumer", tables.TOPIC)
+
+
 def _show(checkpoint: DataFrame) -> DataFrame:
     return checkpoint.select(
         "cluster", "minute_of_hour", F.date_format("minute", MINUTE).alias("minute"),
@@ -142,19 +151,17 @@ def p5_group_member(spark, sf_dir):
         FROM {CHECKPOINT_SQL}""",
 )
 def p7_build_checkpoint(spark, sf_dir):
-    return _show(cp.build_checkpoint(_before_middle(tables.positioned(spark, sf_dir))))
+    return _show(cp.build_checkpoint(tables.positioned(spark, sf_dir)))
 
 
 @query(
     "p7_collector_checkpoint",
     f"""SELECT cluster, collector, strftime(max(minute), '%Y-%m-%d %H:%M') AS minute,
-        max(event_id) + 1 AS line_no FROM {MESSAGES_SQL}
-        WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ALL""",
+        arg_max(event_id + 1, (minute, event_id)) AS line_no FROM {MESSAGES_SQL} GROUP BY ALL""",
 )
 def p7_collector_checkpoint(spark, sf_dir):
     """One position per collector."""
-    rows = _before_middle(tables.positioned(spark, sf_dir))
-    marks = cp.build_checkpoint(rows, "collector")
+    marks = cp.build_checkpoint(tables.positioned(spark, sf_dir), "collector")
     return marks.select(
         "cluster", "collector", F.date_format("minute", MINUTE).alias("minute"), "line_no"
     )
@@ -201,15 +208,15 @@ def p9_missing_checkpoint_file(spark, sf_dir):
         FROM {CHECKPOINT_SQL} GROUP BY ALL""",
 )
 def p10_least_checkpoint(spark, sf_dir):
-    least = cp.least_checkpoint(_middle_checkpoint(spark, sf_dir))
+    least = cp.least_checkpoint(_whole_checkpoint(spark, sf_dir))
     return least.select("cluster", F.date_format("least", MINUTE).alias("least"))
 
 
 @query(
     "p11_fill_checkpoint",
     f"""WITH owned AS (
-          SELECT unnest(generate_series(TIMESTAMP '2024-01-15 23:10:00',
-                 TIMESTAMP '2024-01-15 23:50:00', INTERVAL 1 MINUTE)) AS gap),
+          SELECT unnest(generate_series(TIMESTAMP '2024-01-30 23:10:00',
+                 TIMESTAMP '2024-01-30 23:50:00', INTERVAL 1 MINUTE)) AS gap),
         gaps AS (SELECT c.cluster, minute(gap) AS minute_of_hour, gap
                  FROM owned, (SELECT DISTINCT cluster FROM {CHECKPOINT_SQL}) c
                  WHERE minute(gap) % 2 = 0),
@@ -227,9 +234,9 @@ def p10_least_checkpoint(spark, sf_dir):
 def p11_fill_checkpoint(spark, sf_dir):
     """Empty minutes up to a stop time count as read for the first member of two."""
     filled = cp.fill_checkpoint(
-        _middle_checkpoint(spark, sf_dir),
-        datetime(2024, 1, 15, 23, 10),
-        datetime(2024, 1, 15, 23, 50),
+        _whole_checkpoint(spark, sf_dir),
+        datetime(2024, 1, 30, 23, 10),
+        datetime(2024, 1, 30, 23, 50),
         group="1/2",
         inclusive=True,
     )
@@ -264,7 +271,7 @@ def p13_checkpoint_store(spark, sf_dir):
     store = work_dir(spark, "store")
     rows = tables.positioned(spark, sf_dir)
     first_day = rows.filter(F.col("ts") < F.lit("2024-01-02").cast("timestamp"))
-    for consumed in (first_day, _before_middle(rows)):
+    for consumed in (first_day, rows):
         cp.save_checkpoint(cp.build_checkpoint(consumed), store, "consumer", tables.TOPIC)
     return _show(cp.load_checkpoint(spark, store, "consumer", tables.TOPIC))
 
@@ -277,7 +284,7 @@ def p13_checkpoint_store(spark, sf_dir):
         FROM {CHECKPOINT_SQL}""",
 )
 def p14_rename_clusters(spark, sf_dir):
-    return _show(cp.rename_clusters(_middle_checkpoint(spark, sf_dir), {"c0": "west"}))
+    return _show(cp.rename_clusters(_whole_checkpoint(spark, sf_dir), {"c0": "west"}))
 
 
 @query(
@@ -288,12 +295,13 @@ def p14_rename_clusters(spark, sf_dir):
 def p15_mark_and_reset(spark, sf_dir):
     """Read half of a published stream, mark, read on, reset, read the rest again."""
     roots = tables.local_roots(spark, sf_dir)
-    lines = with_positions(read_minutes(spark, roots, tables.TOPIC))
+    scan = read_minutes(spark, roots, tables.TOPIC)
+    lines = with_positions(scan)
     store = work_dir(spark, "marks")
     half = ranges.time_range(lines, None, datetime(2024, 1, 1, 0, 3))
     cp.save_checkpoint(cp.build_checkpoint(half), store, "consumer", tables.TOPIC)
     mark = cp.load_checkpoint(spark, store, "consumer", tables.TOPIC)
-    again = cp.resume(lines, mark)
+    again = cp.resume(with_positions(scan.filter(cp.unread_files(mark))), mark)
     reads = lines.select("cluster", "value").unionByName(again.select("cluster", "value"))
     return (
         tables.message_fields(decode_messages(reads))
@@ -302,6 +310,28 @@ def p15_mark_and_reset(spark, sf_dir):
     )
 
 
+@query(
+    "p15_stitched_increment",
+    f"""SELECT event_id, collector,
+        CAST(CASE WHEN minute(block) <= 2 THEN 1 ELSE 2 END AS BIGINT) AS read_no
+        FROM {MESSAGES_SQL}""",
+)
+def p15_stitched_increment(spark, sf_dir):
+    """A consumer of moving collector files marks its first read; the second has only the rest."""
+    roots = tables.stitched_root(spark, sf_dir)
+    store = work_dir(spark, "increments")
+    reads = []
+    for number, stop in enumerate((datetime(2024, 1, 1, 0, 2), None), 1):
+        consumer = Consumer(
+            spark, tables.TOPIC, "increment", roots, store,
+            stream_type="stitched", start_of_stream=True, stop=stop,
+        )
+        rows = tables.message_fields(consumer.read())
+        reads.append(rows.select("event_id", "collector", F.lit(number).cast("long").alias("read_no")))
+        consumer.mark()
+    return reads[0].unionByName(reads[1])
+
+
 @query(
     "p16_bounded_consumption",
     """SELECT event_id FROM events ORDER BY date_trunc('minute', ts),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from minuteflow.functions import codec, filenames
@@ -11,6 +13,7 @@ from minuteflow.operators.positions import with_positions
 from minuteflow.plans import tables
 from minuteflow.plans.registry import MESSAGES_SQL, query
 from minuteflow.session import work_dir
+from minuteflow.sources import storage
 from minuteflow.sources.collectors import read_collectors, read_stitched
 from minuteflow.sources.listing import list_files, minute_dirs
 from minuteflow.sources.minutes import decode_messages, read_messages, read_minutes
@@ -139,6 +142,32 @@ def s5_collector_scan(spark, sf_dir):
     )
 
 
+def _add_half_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            filesystem, inner = storage.open_fs(path)
+            with filesystem.open_input_file(inner) as source:
+                whole = source.read()
+            with filesystem.open_output_stream(inner) as out:
+                out.write(whole + b"aGFsZiBhIGxpb")
+        yield batch
+
+
+@query("s5_growing_file", f"SELECT event_id, collector FROM {MESSAGES_SQL}")
+def s5_growing_file(spark, sf_dir):
+    """Every collector file ends in half a line; whole lines are read and nothing else."""
+    root = work_dir(spark, "growing")
+    rows = tables.events(spark, sf_dir).withColumn("topic", F.lit(tables.TOPIC))
+    done = publish(
+        rows, root, collector=F.col("collector"), minute=tables.block_minute(F.col("ts")),
+        stream_type="collector",
+    )
+    paths = done.files.select(F.concat("target_dir", F.lit("/"), "file_name").alias("path"))
+    paths.mapInArrow(_add_half_lines, "path string").count()
+    lines = decode_messages(read_collectors(spark, root, tables.TOPIC))
+    return tables.message_fields(lines).select("event_id", "collector")
+
+
 @query(
     "s6_multi_cluster_union",
     f"""SELECT cluster, event_type, count(*) AS messages, CAST(sum(user_id) AS BIGINT) AS users

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming import StreamingQuery
 
 from minuteflow.functions import codec
 from minuteflow.operators.ranges import parse_group
@@ -199,6 +200,24 @@ class MinuteSource(DataSource):
         return MinuteReader(self.options)
 
 
+def drain_minutes(start: Callable[[], StreamingQuery]) -> int:
+    """Run until no complete minute is left, and return the number of runs.
+
+    ``start`` starts the query with ``availableNow`` on a checkpoint of its own.
+    With ``maxMinutesPerBatch`` one such run ends after a batch, so runs are repeated
+    until the offset stands still.
+    """
+    runs, last = 0, None
+    while True:
+        query = start()
+        query.awaitTermination()
+        progress = query.lastProgress
+        offset = progress["sources"][0]["endOffset"] if progress else last
+        if offset == last:
+            return runs
+        runs, last = runs + 1, offset
+
+
 def stream_minutes(
     spark: SparkSession, roots: layout.Roots, topic: str, stream_type: str = "local", **options
 ) -> DataFrame:
