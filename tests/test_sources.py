@@ -2,9 +2,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import encoded, texts_of
+from pyspark.sql import functions as F
 
-from minuteflow.operators import ranges
-from minuteflow.operators.positions import with_positions
+from minuteflow.operators import checkpoint, ranges
+from minuteflow.operators.positions import consume, with_positions
 from minuteflow.sources.collectors import read_collectors, read_stitched
 from minuteflow.sources.listing import list_files, minute_dirs
 from minuteflow.sources.minutes import decode_messages, read_messages, read_minutes
@@ -149,6 +150,37 @@ def test_files_that_move_after_the_listing(spark, stream, keep):
     assert texts_of(decode_messages(lines)) == [*texts, "old"]
 
 
+def test_an_increment_opens_only_unread_files(spark, stream):
+    for i in range(20):
+        stream.commit(T0 + i * ONE, [f"m{i:02d}"])
+    scan = read_minutes(spark, {"c0": str(stream.root)}, stream.topic)
+    first = with_positions(scan).filter(F.col("minute") <= F.lit(str(T0 + 17 * ONE)).cast("timestamp"))
+    mark = checkpoint.build_checkpoint(first)
+    unread = scan.filter(checkpoint.unread_files(mark))
+    assert files_opened(unread) == 3
+    rest = checkpoint.resume(with_positions(unread), mark)
+    assert texts_of(decode_messages(rest)) == ["m18", "m19"]
+    # By collector; one without a position is read from its start.
+    stream.commit(T0 + ONE, ["new"], collector="collector2")
+    scan = read_stitched(spark, {"c0": str(stream.root)}, stream.topic)
+    mark = checkpoint.build_checkpoint(
+        with_positions(scan.filter("collector = 'collector1'")), "collector"
+    )
+    where = checkpoint.unread_files(mark, "stitched")
+    unread = read_stitched(spark, {"c0": str(stream.root)}, stream.topic, where=where)
+    assert files_opened(unread) == 2
+    rest = checkpoint.resume(with_positions(unread), mark, "stitched")
+    assert texts_of(decode_messages(rest)) == ["new"]
+
+
+def test_bounded_reads_refuse_gaps(spark, stream):
+    stream.collect(T0, ["a", "b", "c"])
+    lines = with_positions(read_collectors(spark, str(stream.root), stream.topic))
+    assert consume(lines, 2, "collector").count() == 2
+    with pytest.raises(Exception, match="filtered out"):
+        consume(lines.filter("line_no <> 2"), 2, "collector").count()
+
+
 def test_line_numbers_across_splits(spark, stream):
     sizes = {0: 5000, 1: 1, 2: 700}
     for number, n in sizes.items():
