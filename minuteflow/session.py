@@ -26,6 +26,13 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Minutes of directories and file names are UTC; another session zone would shift them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
+
+
 _local_base: list[str] = []
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from minuteflow.operators.ranges import check_range, time_range
-from minuteflow.session import stored
+from minuteflow.session import require_utc, stored
 from minuteflow.sources import layout, storage
 from minuteflow.sources.listing import located_files
 from minuteflow.sources.minutes import POSITION_COLUMNS, inner_path, path_below, read_minutes
@@ -43,6 +43,7 @@ def in_flight_files(
     It holds the position columns and ``end``, the offset after the last newline.
     Whatever reads by this table reads the same lines, however the files grow.
     """
+    require_utc(spark)
     named = layout.named_roots(roots, "collector")
     bases = {
         cluster: layout.stream_dir(storage.existing(spark, root), topic, "collector")

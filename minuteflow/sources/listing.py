@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from minuteflow.functions import filenames
 from minuteflow.operators.ranges import check_range, time_range
+from minuteflow.session import require_utc
 from minuteflow.sources import layout, storage
 from minuteflow.sources.minutes import inner_path, load_or_empty, minute_of_dir, path_below
 
@@ -44,6 +45,7 @@ def located_files(
 ) -> DataFrame:
     """``list_files`` with the ``path`` of each file."""
     check_range(start, stop)
+    require_utc(spark)
     frames = []
     for cluster, root in layout.named_roots(roots, stream_type).items():
         base = layout.stream_dir(storage.qualify(spark, root), topic, stream_type)

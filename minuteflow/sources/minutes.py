@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from minuteflow.functions import codec, filenames
 from minuteflow.operators.ranges import check_range, parse_group
+from minuteflow.session import require_utc
 from minuteflow.sources import layout, storage
 
 POSITION_COLUMNS = [
@@ -137,6 +138,7 @@ def read_minutes(
     with ``_`` or ``.`` are skipped.
     """
     check_range(start, stop)
+    require_utc(spark)
     frames = [
         _scan_root(
             spark, cluster, root, topic, stream_type, fmt, start, stop, group, options or {}, schema

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from minuteflow.functions import codec, filenames
 from minuteflow.operators.ranges import minute_literal
-from minuteflow.session import broadcast_if_small
+from minuteflow.session import broadcast_if_small, require_utc
 from minuteflow.sources import layout, storage
 
 MAX_MESSAGE_SIZE = 50 * 1024
@@ -264,6 +264,7 @@ def publish(
     if stream_type not in ("collector", "local", "merged"):
         raise ValueError(f"cannot publish to stream type {stream_type}")
     spark = df.sparkSession
+    require_utc(spark)
     root = storage.qualify(spark, root)
     tag = tag or uuid.uuid4().hex
     stage = f"{root}/_staging/{tag}"

@@ -173,6 +173,16 @@ def test_an_increment_opens_only_unread_files(spark, stream):
     assert texts_of(decode_messages(rest)) == ["new"]
 
 
+def test_other_session_zones_are_refused(spark, stream):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for read in (read_minutes, read_collectors, list_files):
+            with pytest.raises(ValueError, match="UTC"):
+                read(spark, str(stream.root), stream.topic)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_bounded_reads_refuse_gaps(spark, stream):
     stream.collect(T0, ["a", "b", "c"])
     lines = with_positions(read_collectors(spark, str(stream.root), stream.topic))

@@ -11,7 +11,7 @@ from minuteflow.sources.minutes import read_messages
 from minuteflow.streaming import minute_source, tail_source
 from minuteflow.streaming.sinks import audit_stream, read_packets
 from minuteflow.streaming.lines import file_lines, last_newline, next_line_start
-from minuteflow.streaming.minute_source import MinuteReader, stream_minutes
+from minuteflow.streaming.minute_source import MinuteReader, drain_minutes, stream_minutes
 from minuteflow.streaming.tail_source import TailReader, stream_collectors
 
 T0 = datetime(2024, 3, 1, 10, 57)
@@ -63,6 +63,20 @@ def test_minutes_options(spark, stream, drain):
     assert drain(frame) == [f"m{i}" for i in owned]
 
 
+def test_drain_goes_on_past_the_limit(spark, stream, tmp_path):
+    for i in range(8):
+        stream.commit(T0 + i * ONE, [f"m{i}"])
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def start():
+        frame = stream_minutes(spark, str(stream.root), stream.topic, maxMinutesPerBatch=3)
+        writer = frame.writeStream.format("parquet").option("checkpointLocation", ck)
+        return writer.trigger(availableNow=True).start(out)
+
+    assert drain_minutes(start) == 3
+    assert texts_of(spark.read.parquet(out)) == [f"m{i}" for i in range(7)]
+
+
 def reader(stream, **options):
     import json
 
