@@ -13,9 +13,12 @@ from minuteflow.llm import (
     near_dup,
     order_minhash,
     packing,
+    pieces,
     quality,
+    resampling,
     sharding,
     substring_dedup,
+    vector_codes,
     warc,
 )
 from minuteflow.llm.common import table
@@ -101,6 +104,29 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pieces.encoded(table(spark, sf_dir, "documents"))
+    decimal = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # The spans go from the first byte to the last, so this is the text's size.
+        (F.array_max("ends") - F.array_min("begins")).cast("long").alias("span_bytes"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = vector_codes.compressed_with_errors(table(spark, sf_dir, "embeddings"))
+    return made.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -114,12 +140,83 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_chat_formatting,
         op10_minhash_near_dedup,
+        op11_importance_resampling,
+        op12_sentencepiece,
+        op13_vector_codes,
     )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+
+
+def _codes_sql() -> str:
+    """Rounds of whole-number codebooks over a long table of (vector, part, place, number)."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    steps = [
+        f"""k AS (SELECT vec_id, label, embedding FROM embeddings
+       WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+     x AS (SELECT vec_id, j // (len(embedding) // {parts}) AS part, j % (len(embedding) // {parts}) AS pos,
+                  CAST(floor({vector_codes.SCALE} * CAST(embedding[j + 1] AS DOUBLE)) AS BIGINT) AS v
+           FROM (SELECT *, unnest(range(0, len(embedding))) AS j FROM k)),
+     s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+           FROM (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries})),
+     c0 AS (SELECT part, entry, pos, v FROM x JOIN s USING (vec_id))"""
+    ]
+    for r in range(vector_codes.ROUNDS + 1):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (SELECT vec_id, part, min({{'d': d, 'e': entry}}) AS best FROM (
+            SELECT vec_id, part, entry, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d
+            FROM x JOIN c{r} c USING (part, pos) GROUP BY vec_id, part, entry) GROUP BY vec_id, part)"""
+        )
+        if r < vector_codes.ROUNDS:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, c.pos, coalesce(m, c.v) AS v FROM c{r} c LEFT JOIN (
+            SELECT part, best.e AS entry, pos, CAST(floor(sum(v) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS m
+            FROM a{r} JOIN x USING (vec_id, part) GROUP BY part, best.e, pos) USING (part, entry, pos))"""
+            )
+    last = vector_codes.ROUNDS
+    return f"""
+WITH {", ".join(steps)},
+     e AS (SELECT vec_id, string_agg(lower(printf('%02x', CAST(best.e AS INTEGER))), '' ORDER BY part) AS code,
+                  CAST(sum(best.d) AS BIGINT) AS error FROM a{last} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(v, ',' ORDER BY part, entry, pos)) FROM c{last}) AS codebooks_sha256
+FROM e JOIN k USING (vec_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_importance_resampling": rf"""
+WITH p AS (SELECT list(c ORDER BY n) AS t FROM (
+       SELECT n, list_reduce(list_prepend(CAST(n AS BIGINT), CAST(range(8) AS BIGINT[])),
+                             lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+       FROM (SELECT unnest(range(256)) AS n))),
+     w AS (SELECT kind, doc_id, unnest(regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+           FROM (SELECT 's' AS kind, doc_id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark)),
+     h AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM w)),
+     b AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2),
+                    lambda i: CAST(('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT))),
+                    lambda c, y: xor(c // 256, t[xor(c % 256, y) + 1]))) % {resampling.BUCKETS} AS bucket
+           FROM h, p),
+     n AS (SELECT bucket, count(*) FILTER (WHERE kind = 's') AS s, count(*) FILTER (WHERE kind = 't') AS t
+           FROM w JOIN b USING (word) GROUP BY bucket),
+     a AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM n),
+     g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (all_s + {resampling.BUCKETS}::DOUBLE)
+                    / ((s + 1.0::DOUBLE) * (all_t + {resampling.BUCKETS}::DOUBLE)))) AS BIGINT) AS gain FROM n, a),
+     f AS (SELECT doc_id, count(*) AS n_features, sum(gain) AS weight
+           FROM w JOIN b USING (word) JOIN g USING (bucket) WHERE kind = 's' GROUP BY doc_id),
+     r AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                  CAST(('0x' || left(sha256('{resampling.SEED}:' || doc_id), 8)) AS BIGINT) AS h
+           FROM documents LEFT JOIN f USING (doc_id)),
+     z AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+     q AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS every
+           FROM z WHERE n_features >= {resampling.MIN_WORDS})
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= {resampling.PERCENT} * every // 100 THEN place END AS rank
+FROM z LEFT JOIN q USING (doc_id)""",
+    "op13_vector_codes": _codes_sql(),
     "op2_substring_dedup": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
      n AS (SELECT doc_id, w, len(w) AS n FROM d),
