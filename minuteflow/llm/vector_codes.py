@@ -346,8 +346,8 @@ def fit_codebooks(
     order = [F.col("member.vec_id").asc_nulls_last(), "embedding"]
     first = [list(r.embedding) for r in vectors.orderBy(*order).limit(entries).collect()]
     begun = whole_numbers(pa.array(first, pa.list_(pa.float64())), dim)
-    books = begun.reshape(len(first), parts, -1).transpose(1, 0, 2)
-    for _ in range(rounds):
+    books = begun.reshape(len(first), parts, dim // parts).transpose(1, 0, 2)
+    for _ in range(rounds if first else 0):
         books = _round(blocks, np.ascontiguousarray(books))
     return np.ascontiguousarray(books)
 
