@@ -26,7 +26,7 @@ def model():
 
 
 def check(model, text):
-    ids, begins, ends = model.encoded(text)
+    ids, begins, ends = model.encoded([text])[0]
     assert ids.tolist() == model.library.encode(text)
     data = text.encode()
     made = model.library.encode(text, return_type="proto")
@@ -56,9 +56,9 @@ def test_any_text(text):
 
 def test_long_texts_go_in_runs(model, monkeypatch):
     text = "one  two▁three 漢 " * 300 + "z" * 900
-    whole = [x.tolist() for x in model.encoded(text)]
+    whole = [x.tolist() for x in model.encoded([text])[0]]
     monkeypatch.setattr(pieces, "RUN_CHARS", 50)
-    assert [x.tolist() for x in model.encoded(text)] == whole
+    assert [x.tolist() for x in model.encoded([text])[0]] == whole
 
 
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
@@ -88,7 +88,7 @@ def test_spans_through_a_character_map(model):
     own.__dict__.update(model.__dict__)
     own.map = pieces.CharacterMap(spec.normalizer_spec.precompiled_charsmap)
     text = "Ｈｅｌｌｏ ﬁsh"
-    ids, begins, ends = own.encoded(text)
+    ids, begins, ends = own.encoded([text])[0]
     assert ids.tolist() == model.library.encode("hello fish")
     data = text.encode()
     assert data[begins[0] : ends[1]].decode() == "Ｈｅｌｌｏ"  # ▁hell, o
