@@ -4,8 +4,8 @@ The mix is made of blocks of equally many words. Blocks are allocated to sources
 one after the other, each to the source with the highest quotient target/(2n+1)
 after n blocks; a shard of the mix is a run of that sequence, so its quotas are
 whole numbers and add up over the shards. A source's documents are laid out in
-seeded order and cut into blocks, and its quota takes blocks from the start of
-that order, as often round as it needs.
+seeded order and cut into blocks; shard after shard takes as many blocks as its
+quota from where the last one stopped, as often round as it needs.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import heapq
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from minuteflow.llm.common import WORD_GAP, running_sums
+from minuteflow.llm.common import kept, running_sums
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -112,6 +112,22 @@ def plan(
     ]
 
 
+def shard_ranges(size: int, quotas: list[int], block: int = BLOCK_WORDS) -> list[tuple[int, int, int]]:
+    """(shard, first, end): the words of a source's order that each shard takes.
+
+    Shards take their blocks one after the other, round and round; a range ends at a
+    round's end, so there is one per shard and round at most.
+    """
+    n_blocks, at, out = -(-size // block), 0, []
+    for shard, quota in enumerate(quotas):
+        while quota:
+            first = at % n_blocks
+            n = min(quota, n_blocks - first)
+            out.append((shard, first * block, min((first + n) * block, size)))
+            at, quota = at + n, quota - n
+    return out
+
+
 def mixed(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -121,12 +137,14 @@ def mixed(
     seed: int = SEED,
 ) -> DataFrame:
     """Per row what the mix takes: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``,
-    ``taken``, ``start`` (its place in the source's order) and ``row_key``.
+    ``taken``, ``shards`` (the words each shard takes of it), ``start`` (its place in the source's
+    order) and ``row_key``.
 
     Sources rank by code point, null last, and weigh ``weights`` in turn. Null
     texts have no words and are never taken. A source without words has target 0.
     Equal rows are rows of their own, next to each other in the seeded order, which depends on the
-    seed, id and text alone. Further columns are ignored.
+    seed, id and text alone. Very long texts are cut by blocks like others. Further columns are
+    ignored; an empty table gives no rows.
 
     The driver holds one row per source, as many as there are weights to give.
     """
@@ -142,23 +160,113 @@ def mixed(
     # The range order has null first, then code points.
     table, at = [], 0
     for q in sorted(quotas, key=lambda q: (q["source"] is not None, q["source"] or "")):
-        table.append((q["source"], q["size"], q["target"], sum(q["quotas"]), at))
+        ranges = shard_ranges(q["size"], q["quotas"], block)
+        table.append((q["source"], q["size"], q["target"], ranges, at))
         at += q["size"]
-    kinds = "s string, source_size long, target double, quota long, base long"
+    kinds = (
+        "s string, source_size long, target double,"
+        " ranges array<struct<shard:int,first:long,end:long>>, base long"
+    )
     lookup = F.broadcast(docs.sparkSession.createDataFrame(table, kinds))
     joined = placed.join(lookup, F.col("source").eqNullSafe(F.col("s")))
     start = F.col("size_before") - F.col("base")
-    n_blocks = F.ceil(F.col("source_size") / block)
-    rounds = F.when(n_blocks > 0, F.floor(F.col("quota") / n_blocks)).otherwise(0)
-    rest = F.when(n_blocks > 0, F.col("quota") % n_blocks).otherwise(0) * block
-    overlap = F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))
+    end = start + F.col("size")
+    parts = F.transform(
+        F.filter("ranges", lambda r: (r["first"] < end) & (r["end"] > start)),
+        lambda r: F.struct(
+            r["shard"].alias("shard"),
+            (F.least(r["end"], end) - F.greatest(r["first"], start)).alias("words"),
+        ),
+    )
     return joined.select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (rounds * F.col("size") + overlap).cast("long").alias("taken"),
-        start.alias("start"),
-        "row_key",
+        "doc_id", "source", "size", "source_size", "target",
+        parts.alias("shards"), start.alias("start"), "row_key",
+    ).select(
+        "doc_id", "source", "size", "source_size", "target",
+        F.aggregate("shards", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("taken"),
+        "shards", "start", "row_key",
+    )
+
+
+def whole_copies(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id``, ``row_key``, ``copies``: the mix in whole documents.
+
+    A document is given as often as all its words are taken. What the mix takes of the one document at
+    which a source's last round stops is made up by the documents that follow it in the source's order,
+    passing by those larger than what is to be made up; the last one is given where that comes
+    nearer to the target, and the document itself where that comes nearer still. A source of which the
+    mix takes anything is never left empty: if nothing fits, its smallest document is given.
+
+    The driver holds one row per source.
+    """
+    rows = mixed(docs, **options).where("size > 0")
+    rows = kept(
+        rows.select(
+            "doc_id", "row_key", "source", "size", "start",
+            F.floor(F.col("taken") / F.col("size")).alias("copies"),
+            (F.col("taken") % F.col("size")).alias("part"),
+        ),
+        "whole",
+    )
+    begun = F.when(F.col("part") > 0, F.struct("start", "size", "part"))
+    ends = rows.groupBy("source").agg(
+        F.max(begun).alias("last"),
+        F.sum(F.col("copies") * F.col("size")).alias("words"),
+        F.min(F.struct("size", "start")).alias("least"),
+    )
+    ends = [r for r in ends.collect() if r.last is not None]
+    kinds = "s string, at long, missing long"
+    table = [(r.source, r.last.start, r.last.part) for r in ends]
+    lookup = F.broadcast(docs.sparkSession.createDataFrame(table, kinds))
+    open_ = rows.join(lookup, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    open_ = open_.where("size <= missing").withColumn("wrapped", F.col("start") < F.col("at"))
+    order = ["source", "wrapped", "start"]
+    after = running_sums(open_, order, ["size"], "made-up")
+    bases = {
+        r.source: r.base
+        for r in after.groupBy("source").agg(F.min("size_before").alias("base")).collect()
+    }
+    table = [(r.source, bases.get(r.source)) for r in ends]
+    bases = F.broadcast(docs.sparkSession.createDataFrame(table, "b string, base long"))
+    after = after.join(bases, F.col("source").eqNullSafe(F.col("b")))
+    before = F.col("size_before") - F.col("base")
+    over = before + F.col("size") - F.col("missing")
+    more = after.where((over <= 0) | ((before < F.col("missing")) & (over < F.col("missing") - before)))
+    more = more.select("source", "start", "size")
+    filled = {r.source: r.n for r in more.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    instead = []
+    for r in ends:
+        short = abs(r.last.part - filled.get(r.source, 0))
+        if r.last["size"] - r.last.part < short:
+            instead.append((r.source, r.last.start))
+        elif not r.words and r.source not in filled:
+            instead.append((r.source, r.least.start))
+    instead = F.broadcast(docs.sparkSession.createDataFrame(instead, "o string, o_start long"))
+    more = more.select(F.col("source").alias("m"), F.col("start").alias("m_start"))
+    more = more.join(instead.select("o").distinct(), F.col("m").eqNullSafe(F.col("o")), "left_anti")
+    more = more.unionByName(instead.toDF("m", "m_start"))
+    same = F.col("source").eqNullSafe(F.col("m")) & (F.col("start") == F.col("m_start"))
+    given = rows.join(more, same, "left")
+    n = F.col("copies") + F.col("m_start").isNotNull().cast("long")
+    return (
+        given.groupBy("doc_id", "row_key").agg(F.sum(n).cast("int").alias("copies")).where("copies > 0")
+    )
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
+    """The rows of ``docs``, whole, as often as :func:`whole_copies` says.
+
+    Columns of any name are handed on. Null and empty texts are gone, null ids and sources take part,
+    equal rows share their copies, and an empty table gives none.
+    """
+    copies = whole_copies(docs, seed=seed, **options).select(
+        F.col("doc_id").alias("taken_id"), F.col("row_key").alias("taken_key"), "copies"
     )
+    packed = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"),
+    ).dropDuplicates(["id", "key"])
+    same = F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("key") == F.col("taken_key"))
+    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return packed.join(copies, same).select("row", each).select("row.*")

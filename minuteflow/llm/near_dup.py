@@ -344,3 +344,22 @@ def near_duplicates(
     alone = table.where("node is null")
     alone = alone.withColumns({"component_id": F.col("doc_id"), "kept": F.lit(True)})
     return done.unionByName(alone.select(*columns))
+
+
+def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group its first text stays, once.
+
+    Columns of any name are handed on. Null and empty texts are linked with nothing and stay, as do
+    rows without an id that are linked with nothing; of rows equal in id and text one stays; very
+    long texts are compared whole; an empty table gives no rows.
+    """
+    stay = near_duplicates(docs, **options).where("kept")
+    stay = stay.select(F.col("doc_id").alias("kept_id"), F.col("row_key").alias("kept_key"))
+    packed = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("doc_id", "text").alias("key"),
+    )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    # Repeated rows are marked alike; one of them stays.
+    return packed.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -64,7 +64,11 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    shards = F.transform("shards", lambda x: x["shard"].cast("string"))
+    return mix.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.array_join(F.array_distinct(shards), ",").alias("shards"),
+    )
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

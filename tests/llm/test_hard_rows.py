@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from minuteflow.llm import (
     chat,
@@ -193,13 +194,71 @@ def test_reply_trees(spark):
     ]
 
 
-@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+CLASHES = "row_key kept_id kept_key taken_id taken_key copies copy verdict n_lines n_dropped row id key drop".split()
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
 def test_stages(spark, sf_dir, hard, empty, name):
+    """Rows come through with all their columns, whatever the names; only lines change texts."""
     stage = dict(corpus_pipeline.STAGES)[name]
-    for docs in (hard, empty):
+    named = lambda d: d.select("doc_id", "text", "source", *(F.lit(c).alias(c) for c in CLASHES))
+    for docs in (hard, named(hard)):
         after = stage(spark, docs, sf_dir)
-        assert name == "packing" or after.columns == docs.columns
-        assert after.count() >= 0
-    if name == "near dedup":
-        kept = sorted(r.doc_id or 0 for r in stage(spark, hard, sf_dir).collect())
-        assert kept.count(2) <= 1 and 1 in kept
+        assert after.columns == docs.columns
+        before = {tuple(r) for r in docs.collect()}
+        rows = [tuple(r) for r in after.collect()]
+        at = docs.columns.index("text")
+        without = lambda r: r[:at] + r[at + 1 :]
+        if name == "line dedup":
+            assert {without(r) for r in rows} == {without(r) for r in before}
+            assert all(r[at] in ("", "two") or r in before for r in rows)
+        else:
+            assert rows and set(rows) <= before or name == "quality rules"
+        ids = [r[0] for r in rows]
+        if name == "quality rules":
+            assert set(ids) <= {8, 7, 1, 2, None} and 3 not in ids and 4 not in ids
+        if name == "near dedup":
+            # The row without an id belongs to document 1; empty ones stay.
+            assert sorted(ids, key=lambda i: i or 0) == [None, 1, 3, 4, 5, 6, 7, 8, 9]
+        if name == "mixing":
+            assert not {3, 4, 5} & set(ids) and {1, 2, 6, 7, 8, 9} & set(ids)
+    assert stage(spark, empty, sf_dir).collect() == []
+
+
+def test_packing_stage(spark, sf_dir, hard, empty):
+    rows = dict(corpus_pipeline.STAGES)["packing"](spark, hard, sf_dir).collect()
+    assert sum(r.piece == 0 for r in rows) == len(HARD)
+    assert dict(corpus_pipeline.STAGES)["packing"](spark, empty, sf_dir).count() == 0
+
+
+def counted(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {}
+    for r in mixing.mixed_documents(frame).collect():
+        out.setdefault(r.source, []).append(len(r.text.split()))
+    return out
+
+
+def test_whole_copies_leave_no_source_empty(spark):
+    rows = [(1, "w " * 1000, "a"), (99, "w " * 4000, "c")]
+    rows += [(10 + i, f"w{i} " * 50, "b") for i in range(40)]
+    got = counted(spark, rows)
+    assert got["a"] == [1000] * 3
+    assert abs(sum(got["b"]) - 8000 / 3) <= 50
+    assert got["c"] == [4000]
+
+
+def test_whole_copies_make_up_for_the_last_document(spark):
+    """The long document is passed by where those after it come nearer to the target."""
+    rows = [(i, f"a{i} " * 500, "a") for i in range(20)]
+    rows += [(100 + i, f"b{i} " * 37, "b") for i in range(400)] + [(999, "b " * 5000, "b")]
+    target = (10_000 + 400 * 37 + 5_000) * 2 / 7
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (1, 2, 3, 4):
+        own = mixing.mixed_documents(frame, seed=seed).where("source = 'b'")
+        words = own.agg(F.sum(mixing.size_in_words(F.col("text")))).first()[0]
+        assert abs(words - target) <= 37 + 64
+    # One document and less than half of it wanted: the source stays all the same.
+    assert counted(spark, [(1, "w " * 10, "a"), (2, "v " * 100, "b"), (3, None, "c"), (4, "", None)]) == {
+        "a": [10], "b": [100]
+    }

@@ -242,6 +242,46 @@ def test_mixing(spark, sf_dir, documents):
     assert again == got
 
 
+def test_mixing_block_by_block(spark, documents):
+    """Blocks are allocated and taken one at a time."""
+    rows = sorted(
+        (r.source is None, r.source or "", spark_signed(r.doc_id, r.text), r.doc_id, len(WORD.findall(r.text or "")))
+        for r in documents.collect()
+    )
+    order = {}
+    for none, source, _, doc_id, n in rows:
+        order.setdefault(None if none else source, []).extend([doc_id] * n)
+    sizes = {s: len(w) for s, w in order.items()}
+    quotas = mixing.plan(list(sizes.items()), shards=5)
+    target = {q["source"]: q["target"] for q in quotas}
+    blocks = -(-sum(sizes.values()) // 32)
+    given, taken = dict.fromkeys(order, 0), Counter()
+    for k in range(blocks):
+        best = max(
+            (s for s in order if given[s] < 3 * -(-sizes[s] // 32)),
+            key=lambda s: (target[s] / (2 * given[s] + 1), [-i for i, q in enumerate(quotas) if q["source"] == s]),
+        )
+        n = given[best] % -(-sizes[best] // 32)
+        given[best] += 1
+        shard = next(i for i in range(5) if k < blocks * (i + 1) // 5)
+        for doc_id in order[best][32 * n : 32 * n + 32]:
+            taken[doc_id, shard] += 1
+    got = Counter()
+    for r in mixing.mixed(documents, shards=5).collect():
+        assert r.taken == sum(x["words"] for x in r.shards)
+        for x in r.shards:
+            got[r.doc_id, x["shard"]] += x["words"]
+    assert got == taken
+
+
+def spark_signed(doc_id, text):
+    """The seeded key of a document, as Spark makes it."""
+    seed = 42
+    for part in (mixing.SEED.to_bytes(4, "little"), doc_id.to_bytes(8, "little"), text.encode()):
+        seed = xxhash.xxh64_intdigest(part, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
 def test_packing(spark, sf_dir, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -325,8 +365,16 @@ def test_pipeline(spark, sf_dir, documents):
         if name == "near dedup":
             assert {r.doc_id for r in new} == slow_near_dedup(old)
         if name == "mixing":
-            mix = {r.doc_id: round(r.taken / r.size) for r in mixing.mixed(before).collect() if r.size}
-            assert Counter(r.doc_id for r in new) == {d: n for d, n in mix.items() if n}
+            mix = {r.doc_id: r for r in mixing.mixed(before).collect()}
+            times, words = Counter(r.doc_id for r in new), Counter()
+            for d, n in times.items():
+                assert mix[d].taken // mix[d]["size"] <= n <= 3
+                words[mix[d].source] += n * mix[d]["size"]
+            assert all(times[d] >= r.taken // r["size"] for d, r in mix.items() if r["size"])
+            for source in words.keys() | {r.source for r in mix.values() if r.taken}:
+                own = [r for r in mix.values() if r.source == source]
+                part = max(min(r.taken % r["size"], -r.taken % r["size"]) for r in own if r["size"])
+                assert words[source] and abs(words[source] - sum(r.taken for r in own)) <= part
     run = corpus_pipeline.run(spark, sf_dir)
     pieces = packing.packed(docs)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
