@@ -5,8 +5,8 @@ give the columns of ``documents``. ``run`` writes what a stage gives to the
 shared folder and hands it to the next.
 
 A null or empty text fails the quality rules; later stages accept one all the
-same. Mixing hands on whole documents: as many copies as the words taken are
-times the document's size, rounded, so documents the mix passes by are gone.
+same. Mixing hands on whole documents, as many copies as the words taken are times the
+document's size, and no source with a target is left empty.
 """
 
 from __future__ import annotations
@@ -18,41 +18,44 @@ from minuteflow.llm.common import kept, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the quality rules keep, as they are.
+
+    Null, empty and short texts go. Repeated rows are judged alike and stay repeated; null ids are
+    judged by their text; very long texts are judged whole; a column ``verdict`` comes through; an
+    empty table gives no rows. Documents without a row in ``labels`` are judged like others.
+    """
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
-    return quality.judged(docs, trusted).where("verdict.kept").select(*docs.columns)
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return quality.judged(packed, trusted).where("verdict.kept").select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    """Every row, its text without the lines found in ten rows or more.
+
+    A null text becomes empty. Repeated rows count as rows of their own, null ids do no harm, very
+    long texts and lines are taken whole, columns ``n_lines`` and ``n_dropped`` come through, and an
+    empty table gives no rows.
+    """
+    others = F.struct(*(c for c in docs.columns if c != "text"))
+    packed = docs.select("doc_id", "text", others.alias("row"))
+    cleaned = line_dedup.dedup_lines(packed).select("row", "text")
+    return cleaned.select(
+        *(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns)
+    )
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = near_dup.near_duplicates(docs).where("kept")
-    stay = stay.select(F.col("doc_id").alias("kept_id"), F.col("row_key").alias("kept_key"))
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key"))
-    chosen = keyed.join(stay, same, "left_semi")
-    # Repeated rows are marked alike; one of them stays.
-    return chosen.dropDuplicates(["doc_id", "row_key"]).select(*docs.columns)
+    """One row of each group of near copies: see :func:`near_dup.one_of_each`."""
+    return near_dup.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.mixed(docs).where("size > 0")
-    copies = (
-        taken.groupBy(F.col("doc_id").alias("taken_id"), F.col("row_key").alias("taken_key"))
-        .agg(F.sum(F.round(F.col("taken") / F.col("size"))).cast("int").alias("copies"))
-        .where("copies > 0")
-    )
-    keyed = docs.withColumn("row_key", F.xxhash64(F.lit(mixing.SEED), "doc_id", "text"))
-    once = keyed.dropDuplicates(["doc_id", "row_key"])
-    same = F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("row_key") == F.col("taken_key"))
-    joined = once.join(copies, same)
-    return joined.select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-    ).select(*docs.columns)
+    """Whole rows, as often as the mix takes them: see :func:`mixing.mixed_documents`."""
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every row: see :func:`packing.packed`. It hands on no columns."""
     return packing.packed(docs)
 
 
