@@ -38,6 +38,10 @@ class _Plan:
 class Consumer:
     """One member of a consumer group on one topic.
 
+    Members of a group share ``name`` and ``store``, a folder or any :class:`cp.CheckpointStore`.
+    Each sees and marks the positions of its own minutes of the hour alone, so members may
+    mark and restart in any order, and a group may be given another number of members.
+
     ``stream_type``: ``local``, ``merged`` or ``generic`` minute directories,
     ``stitched`` collector and committed files, or ``collector`` files alone.
     The start is the stored checkpoint, else ``relative_minutes``, else
@@ -48,7 +52,7 @@ class Consumer:
     topic: str
     name: str
     roots: layout.Roots
-    store: str
+    store: str | cp.CheckpointStore
     stream_type: str = "local"
     group: str = "1/1"
     start: datetime | None = None
@@ -76,7 +80,12 @@ class Consumer:
 
     def reset(self) -> None:
         """Go back to the last mark: the next read delivers from there again."""
-        self._checkpoint = cp.load_checkpoint(self.spark, self.store, self.name, self.topic)
+        marks = cp.load_checkpoint(self.spark, self.store, self.name, self.topic)
+        if marks is not None and self._by_minute:
+            marks = cp.owned_positions(marks, self.group)
+            # Positions of other members alone are none of ours.
+            marks = None if marks.isEmpty() else marks
+        self._checkpoint = marks
         self._taken = None
 
     def _clusters(self) -> DataFrame:
@@ -190,7 +199,7 @@ class Consumer:
             minutes *= 4
 
     def mark(self) -> int:
-        """Store the position after the messages of the last read.
+        """Store the position after the messages of the last read, beside those of other members.
 
         Owned minutes between the first and the last minute that had no file
         count as read. Without any message the positions before the start are
@@ -202,7 +211,9 @@ class Consumer:
         merged = cp.merge_checkpoints(self._checkpoint, new, self.stream_type)
         if self._by_minute:
             merged = self._fill(merged, new)
-        version = cp.save_checkpoint(merged, self.store, self.name, self.topic)
+        store = cp.checkpoint_store(self.store)
+        changed = stored(merged if self._by_minute else new, "changed")
+        version = store.merge(changed, self.name, self.topic, self.stream_type)
         self.reset()
         return version
 

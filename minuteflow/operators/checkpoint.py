@@ -9,12 +9,15 @@ last line consumed, -1 when the minute is fully read.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from minuteflow.operators.positions import file_key, partition_key
-from minuteflow.operators.ranges import minute_literal, owned
+from minuteflow.operators.ranges import minute_literal, owned, parse_group
 from minuteflow.session import broadcast_if_small
 from minuteflow.sources import storage
 from minuteflow.sources.layout import to_minute
@@ -254,31 +257,106 @@ def merge_checkpoints(
     return old.join(new, on, "left_anti").select(*new.columns).unionByName(new)
 
 
-def _store_key(store: str, consumer: str, topic: str) -> str:
-    return f"{store.rstrip('/')}/{consumer}_{topic}"
+def owned_positions(checkpoint: DataFrame, group: str) -> DataFrame:
+    """The positions of a member's own minutes of the hour."""
+    number, total = parse_group(group)
+    return checkpoint.filter(F.pmod("minute_of_hour", F.lit(total)) == number - 1)
 
 
-def _versions(path: str) -> list[int]:
-    names = [n for n in storage.subdirs(path) if n.startswith("v") and n[1:].isdigit()]
-    return sorted(int(n[1:]) for n in names if storage.exists(f"{path}/{n}/_SUCCESS"))
+class CheckpointStore(Protocol):
+    """Where consumers keep their positions; a key is a consumer name and a topic."""
 
+    def load(self, spark: SparkSession, consumer: str, topic: str) -> DataFrame | None:
+        """All positions stored under a key, or None."""
 
-def save_checkpoint(checkpoint: DataFrame, store: str, consumer: str, topic: str) -> int:
-    """Write a new whole version; readers see it only when it is finished."""
-    path = storage.qualify(checkpoint.sparkSession, _store_key(store, consumer, topic))
-    taken = [int(n[1:]) for n in storage.subdirs(path) if n[1:].isdigit()]
-    version = max(taken, default=0) + 1
-    checkpoint.write.mode("errorifexists").parquet(f"{path}/v{version:010d}")
-    return version
+    def save(self, checkpoint: DataFrame, consumer: str, topic: str) -> int:
+        """Store these positions in place of all others; gives the version."""
+
+    def merge(self, changed: DataFrame, consumer: str, topic: str, stream_type: str) -> int:
+        """Store changed positions beside those of other partitions, whoever stored them."""
+
+
+@dataclass(frozen=True)
+class FileCheckpointStore:
+    """Versions of a key's positions in a folder shared by all members of a group.
+
+    A version is a table of its own and a small file ``v<number>`` that names it. That file is
+    created only if nobody has the number, so of two members that go on from the same version one
+    has to read the other's and go on from there: no member's positions are lost. The last
+    ``keep`` versions stay.
+    """
+
+    root: str
+    keep: int = 20
+
+    def _path(self, spark: SparkSession, consumer: str, topic: str) -> str:
+        return storage.qualify(spark, f"{self.root.rstrip('/')}/{consumer}_{topic}")
+
+    def _versions(self, path: str) -> tuple[list[int], int]:
+        """The versions that can be read, and the number of the next one.
+
+        A folder of that name is a table itself, as stores had them once; one that was not finished
+        is passed by.
+        """
+        found = {e.base_name: e for e in storage.children(path)}
+        named = {n: int(n[1:]) for n in found if n.startswith("v") and n[1:].isdigit()}
+        whole = [k for n, k in named.items() if found[n].is_file or storage.exists(f"{path}/{n}/_SUCCESS")]
+        return sorted(whole), max(named.values(), default=0) + 1
+
+    @staticmethod
+    def _place(path: str, version: int) -> str:
+        pointer = f"{path}/v{version:010d}"
+        return pointer if storage.is_dir(pointer) else f"{path}/{storage.read_text(pointer)}"
+
+    def _commit(self, checkpoint: DataFrame, path: str, version: int) -> bool:
+        """Write the positions as this version, unless somebody else was faster."""
+        spark, name = checkpoint.sparkSession, f"positions-{uuid.uuid4().hex}"
+        # At most 60 rows per cluster, or one per collector.
+        checkpoint.coalesce(1).write.parquet(f"{path}/{name}")
+        if not storage.create_new(spark, f"{path}/v{version:010d}", name):
+            storage.delete_dir(f"{path}/{name}")
+            return False
+        for old in self._versions(path)[0][: -self.keep]:
+            storage.delete_dir(self._place(path, old))
+            storage.delete_file(f"{path}/v{old:010d}")
+        return True
+
+    def load(self, spark: SparkSession, consumer: str, topic: str) -> DataFrame | None:
+        path = self._path(spark, consumer, topic)
+        versions, _ = self._versions(path)
+        return spark.read.parquet(self._place(path, versions[-1])) if versions else None
+
+    def save(self, checkpoint: DataFrame, consumer: str, topic: str) -> int:
+        path = self._path(checkpoint.sparkSession, consumer, topic)
+        while True:
+            _, version = self._versions(path)
+            if self._commit(checkpoint, path, version):
+                return version
+
+    def merge(self, changed: DataFrame, consumer: str, topic: str, stream_type: str) -> int:
+        spark = changed.sparkSession
+        path = self._path(spark, consumer, topic)
+        while True:
+            versions, version = self._versions(path)
+            old = spark.read.parquet(self._place(path, versions[-1])) if versions else None
+            if self._commit(merge_checkpoints(old, changed, stream_type), path, version):
+                return version
+
+
+def checkpoint_store(store: str | CheckpointStore) -> CheckpointStore:
+    return FileCheckpointStore(store) if isinstance(store, str) else store
+
+
+def save_checkpoint(checkpoint: DataFrame, store: str | CheckpointStore, consumer: str, topic: str) -> int:
+    """Store positions in place of all others under the key, as a new version."""
+    return checkpoint_store(store).save(checkpoint, consumer, topic)
 
 
 def load_checkpoint(
-    spark: SparkSession, store: str, consumer: str, topic: str
+    spark: SparkSession, store: str | CheckpointStore, consumer: str, topic: str
 ) -> DataFrame | None:
-    """The latest finished version, or None."""
-    path = storage.qualify(spark, _store_key(store, consumer, topic))
-    versions = _versions(path)
-    return spark.read.parquet(f"{path}/v{versions[-1]:010d}") if versions else None
+    """The latest version, or None."""
+    return checkpoint_store(store).load(spark, consumer, topic)
 
 
 def rename_clusters(checkpoint: DataFrame, mapping: dict[str, str]) -> DataFrame:

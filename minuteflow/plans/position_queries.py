@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -276,6 +277,33 @@ def p13_checkpoint_store(spark, sf_dir):
     return _show(cp.load_checkpoint(spark, store, "consumer", tables.TOPIC))
 
 
+@query(
+    "p13_group_marks",
+    f"""SELECT event_id, CAST(minute(block + INTERVAL 1 MINUTE) % 2 + 1 AS BIGINT) AS member,
+        CAST(CASE WHEN minute(block) < 3 THEN 1 ELSE 2 END AS BIGINT) AS read_no
+        FROM {MESSAGES_SQL}""",
+)
+def p13_group_marks(spark, sf_dir):
+    """Two members of one name read half, mark in turn, start again, read the rest, and then nothing."""
+    roots = tables.local_roots(spark, sf_dir)
+    store = work_dir(spark, "group")
+    reads = []
+    for number, stop in enumerate((datetime(2024, 1, 1, 0, 3), None, None), 1):
+        members = {
+            k: Consumer(
+                spark, tables.TOPIC, "group", roots, store,
+                group=f"{k}/2", start_of_stream=True, stop=stop,
+            )
+            for k in (1, 2)
+        }
+        for k, member in members.items():
+            rows = tables.message_fields(member.read()).select("event_id")
+            reads.append(rows.withColumns({"member": F.lit(k).cast("long"), "read_no": F.lit(number).cast("long")}))
+        for k in (2, 1) if number % 2 else (1, 2):
+            members[k].mark()
+    return reduce(DataFrame.unionByName, reads)
+
+
 @query(
     "p14_rename_clusters",
     f"""SELECT CASE cluster WHEN 'c0' THEN 'west' ELSE cluster END AS cluster,

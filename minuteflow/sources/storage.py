@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
@@ -50,6 +53,11 @@ def exists(path: str) -> bool:
     return filesystem.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def is_dir(path: str) -> bool:
+    filesystem, inner = open_fs(path)
+    return filesystem.get_file_info(inner).type == fs.FileType.Directory
+
+
 def existing(spark: SparkSession, root: str) -> str:
     """A qualified root; a topic or a minute may be absent, a root must be there."""
     path = qualify(spark, root)
@@ -76,6 +84,45 @@ def read_text(path: str) -> str:
         return src.read().decode()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole under a name nobody has yet; False if somebody has it.
+
+    The text is written under a name of its own and put in place by a hard link, or on other file
+    systems by a rename, which fails where the name is taken (HDFS).
+    """
+    own = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+    write_text(own, text)
+    filesystem, inner = open_fs(own)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        try:
+            os.link(inner, open_fs(path)[1])
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(inner)
+        return True
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    source, target = hadoop(own), hadoop(path)
+    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # A rename onto an existing file fails; onto a missing one it is atomic.
+    done = not files.exists(target) and files.rename(source, target)
+    if not done:
+        files.delete(source, False)
+    return done
+
+
+def delete_dir(path: str) -> None:
+    filesystem, inner = open_fs(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.Directory:
+        filesystem.delete_dir(inner)
+
+
+def delete_file(path: str) -> None:
+    filesystem, inner = open_fs(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.File:
+        filesystem.delete_file(inner)
+
+
 def move(src: str, dst: str) -> None:
     """Rename, safe to run again: a source already moved is left alone."""
     filesystem, src_inner = open_fs(src)

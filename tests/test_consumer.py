@@ -1,4 +1,5 @@
 import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -91,16 +92,143 @@ def test_mark_before_the_first_message(spark, filled, tmp_path):
 def test_groups_share_the_stream(spark, filled, tmp_path):
     parts = []
     for k in (1, 2):
-        member = Consumer(
-            spark, filled.topic, f"m{k}", str(filled.root), str(tmp_path / "store"),
-            group=f"{k}/2", start_of_stream=True,
-        )
-        taken = texts_of(member.read(5))
-        member.mark()
-        parts += taken + texts_of(member.read())
+        one = member(spark, filled, str(tmp_path / "store"), k)
+        taken = texts_of(one.read(5))
+        one.mark()
+        parts += taken + texts_of(one.read())
     assert sorted(parts) == texts(0, 1, 2, 4, 5)
 
 
+def member(spark, filled, store, k, total=2, **options):
+    return Consumer(
+        spark, filled.topic, "bill", str(filled.root), store,
+        group=f"{k}/{total}", **{"start_of_stream": True, **options},
+    )
+
+
+def own(k, total=2, minutes=range(6)):
+    return sorted(t for i in minutes if i % total == k - 1 and i != 3 for t in texts(i))
+
+
+@pytest.mark.parametrize("order", [(1, 2), (2, 1)])
+def test_members_of_one_name_mark_in_any_order(spark, filled, tmp_path, order):
+    store = str(tmp_path / "store")
+    first = {k: member(spark, filled, store, k) for k in (1, 2)}
+    for k in (1, 2):
+        assert texts_of(first[k].read()) == own(k)
+    for k in order:
+        first[k].mark()
+    for k in (1, 2):
+        again = member(spark, filled, store, k)
+        assert texts_of(again.read()) == []
+        again.mark()
+    filled.commit(T0 + 6 * ONE, ["six"])
+    filled.commit(T0 + 7 * ONE, ["seven"])
+    filled.minute_dir(T0 + 8 * ONE)
+    assert texts_of(member(spark, filled, store, 1).read()) == ["six"]
+    assert texts_of(member(spark, filled, store, 2).read()) == ["seven"]
+
+
+def test_member_without_marks_starts_by_its_options(spark, filled, tmp_path):
+    """Positions of the other member neither skip nor repeat anything of this one's."""
+    store = str(tmp_path / "store")
+    one, two = (member(spark, filled, store, k) for k in (1, 2))
+    one.read().count()
+    two.read().count()
+    two.mark()
+    late = member(spark, filled, store, 1)
+    assert texts_of(late.read(5)) == texts(0)[:4] + texts(2)[:1]
+    late.mark()
+    assert texts_of(member(spark, filled, store, 2).read()) == []
+    assert sorted(texts(0)[:4] + texts(2)[:1] + texts_of(member(spark, filled, store, 1).read())) == own(1)
+
+
+def test_group_gets_another_number_of_members(spark, filled, tmp_path):
+    store = str(tmp_path / "store")
+    taken = []
+    for k in (1, 2):
+        one = member(spark, filled, store, k, stop=T0 + 2 * ONE)
+        taken += texts_of(one.read())
+        one.mark()
+    for k in (1, 2, 3):
+        taken += texts_of(member(spark, filled, store, k, total=3).read())
+    assert sorted(taken) == texts(0, 1, 2, 4, 5)
+
+
+def test_marks_at_the_same_time_are_all_kept(spark, tmp_path):
+    """Four members go on from the same version; each finds the others' positions and adds its own."""
+    store, name = cp.FileCheckpointStore(str(tmp_path / "store"), keep=4), ("bill", "t")
+    kind = (
+        "cluster string, minute_of_hour int, minute timestamp,"
+        " file_key struct<file_dir:string,file_mtime:timestamp,file_name:string>, line_no long"
+    )
+
+    def mark(k):
+        for i in (k, k + 30):
+            row = spark.createDataFrame([("c", i, T0 + i * ONE, None, k)], kind)
+            store.merge(row, *name, "local")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(mark, range(4)))
+    rows = store.load(spark, *name).collect()
+    assert sorted((r.minute_of_hour, r.line_no) for r in rows) == sorted(
+        (i, k) for k in range(4) for i in (k, k + 30)
+    )
+    names = [p.name for p in (tmp_path / "store" / "bill_t").iterdir()]
+    versions = sorted(n for n in names if n.startswith("v"))
+    assert versions == [f"v{n:010d}" for n in range(5, 9)]
+    assert len([n for n in names if n.startswith("positions-")]) == 4
+    assert not [n for n in names if n.startswith("_")]
+
+
+def test_a_mark_that_comes_second_is_merged(spark, filled, tmp_path, monkeypatch):
+    """Between reading a version and writing the next one the other member marks."""
+    store = str(tmp_path / "store")
+    one, two = (member(spark, filled, store, k) for k in (1, 2))
+    one.read().count()
+    two.read().count()
+    commit, late = cp.FileCheckpointStore._commit, []
+
+    def slow(self, checkpoint, path, version):
+        if not late:
+            late.append(version)
+            two.mark()
+        return commit(self, checkpoint, path, version)
+
+    monkeypatch.setattr(cp.FileCheckpointStore, "_commit", slow)
+    assert one.mark() == 2 and late == [1]
+    for k in (1, 2):
+        assert texts_of(member(spark, filled, store, k).read()) == []
+
+
+class MemoryStore:
+    """A store of the user's own."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def load(self, spark, consumer, topic):
+        kept = self.rows.get((consumer, topic))
+        return spark.createDataFrame(*kept) if kept else None
+
+    def save(self, checkpoint, consumer, topic):
+        self.rows[consumer, topic] = checkpoint.collect(), checkpoint.schema
+        return len(self.rows)
+
+    def merge(self, changed, consumer, topic, stream_type):
+        old = self.load(changed.sparkSession, consumer, topic)
+        return self.save(cp.merge_checkpoints(old, changed, stream_type), consumer, topic)
+
+
+def test_store_of_ones_own(spark, filled):
+    store = MemoryStore()
+    for k in (1, 2):
+        one = member(spark, filled, store, k)
+        assert texts_of(one.read()) == own(k)
+        one.mark()
+    assert [texts_of(member(spark, filled, store, k).read()) for k in (1, 2)] == [[], []]
+
+
 def test_stitched_consumer(spark, stream, tmp_path):
     stream.commit(T0 + ONE, ["a", "b"], file_minute=T0)
     path = stream.collect(T0 + ONE, ["c", "d"])
