@@ -16,7 +16,7 @@ from minuteflow.operators import checkpoint as cp
 from minuteflow.operators import metrics, ranges
 from minuteflow.operators.positions import consume, partition_key, with_positions
 from minuteflow.session import broadcast_if_small, stored
-from minuteflow.sources import layout
+from minuteflow.sources import layout, storage
 from minuteflow.sources.collectors import read_stitched
 from minuteflow.sources.listing import list_files, minute_dirs
 from minuteflow.sources.minutes import decode_messages, read_minutes
@@ -30,7 +30,7 @@ class _Plan:
     """What a read starts from: start minute, minutes with files, last complete minutes."""
 
     begin: datetime | None
-    minutes: DataFrame
+    minutes: DataFrame | None
     bounds: dict[str, datetime | None]
 
 
@@ -64,6 +64,9 @@ class Consumer:
     _checkpoint: DataFrame | None = field(default=None, init=False)
     _taken: DataFrame | None = field(default=None, init=False)
     _since: datetime | None = field(default=None, init=False)
+    # Of stitched streams: last minute directories before a read, and those of the last mark.
+    _seen: dict[str, datetime] = field(default_factory=dict, init=False)
+    _listed: dict[str, datetime] = field(default_factory=dict, init=False)
 
     def __post_init__(self) -> None:
         layout.named_roots(self.roots, self._directory_type)
@@ -85,9 +88,31 @@ class Consumer:
             marks = cp.owned_positions(marks, self.group)
             # Positions of other members alone are none of ours.
             marks = None if marks.isEmpty() else marks
+        elif marks is not None:
+            self._listed = cp.listed_until(marks)
+            marks = marks.filter(F.col("collector") != cp.LISTED)
         self._checkpoint = marks
         self._taken = None
 
+    def _last_minutes(self) -> dict[str, datetime]:
+        """Cluster -> its last minute directory now. Whatever is committed later lies there or beyond."""
+        last = {}
+        for cluster, root in layout.named_roots(self.roots, "collector").items():
+            base = layout.stream_dir(storage.qualify(self.spark, root), self.topic, "local")
+            last[cluster] = layout.edge_minute(base, last=True)
+        return {cluster: minute for cluster, minute in last.items() if minute is not None}
+
+    def _committed_from(self) -> datetime | None:
+        """Before this minute every committed file was read, in all clusters."""
+        names = layout.named_roots(self.roots, "collector")
+        if self.stream_type != "stitched" or not set(names) <= set(self._listed):
+            return None
+        return min(self._listed[name] for name in names)
+
+    def _files(self, kind: str) -> DataFrame:
+        first = self._committed_from() if kind == "local" and not self._by_minute else None
+        return list_files(self.spark, self.roots, self.topic, kind, first)
+
     def _clusters(self) -> DataFrame:
         names = [(name,) for name in layout.named_roots(self.roots, self._directory_type)]
         return self.spark.createDataFrame(names, "cluster string")
@@ -121,13 +146,16 @@ class Consumer:
         least = self._checkpoint.agg(F.date_format(F.min("minute"), _TEXT)).first()[0]
         return datetime.fromisoformat(least) if least else None
 
-    def _plan(self) -> _Plan:
+    def _plan(self, limited: bool) -> _Plan:
         begin, whole = self._begin()
         earliest = min(filter(None, [self._least(), begin]), default=None)
         self._since = None if whole else earliest
         if not self._by_minute:
             kinds = ["collector", "local"] if self.stream_type == "stitched" else ["collector"]
-            files = [list_files(self.spark, self.roots, self.topic, kind) for kind in kinds]
+            self._seen = self._last_minutes() if self.stream_type == "stitched" else {}
+            if not limited:
+                return _Plan(begin, None, {})
+            files = [self._files(kind) for kind in kinds]
             used = reduce(DataFrame.unionByName, files).select(F.col("file_minute").alias("minute"))
             return _Plan(begin, stored(used.distinct(), "minutes"), {})
         until = self.stop + timedelta(minutes=1) if self.stop else None
@@ -155,7 +183,8 @@ class Consumer:
         else:
             local = self.stream_type == "stitched"
             lines, axis = read_stitched(
-                self.spark, self.roots, self.topic, local, self._since, until, where=unread
+                self.spark, self.roots, self.topic, local, self._since, until,
+                where=unread, committed_from=self._committed_from(),
             ), "file_minute"
         lines = with_positions(lines)
         if self._checkpoint is None:
@@ -175,11 +204,13 @@ class Consumer:
         A limited read looks at the first minute that has files, then at four
         times as many, until the messages suffice. It never opens later files.
         """
-        plan = self._plan()
+        plan = self._plan(max_messages is not None)
         if max_messages is None:
             lines = self._unread(plan, self.stop)
         else:
             lines = self._first(plan, max_messages)
+        if max_messages is not None or self.stop is not None:
+            self._seen = {}  # something older may be left
         self._taken = lines
         return decode_messages(lines)
 
@@ -212,7 +243,7 @@ class Consumer:
         if self._by_minute:
             merged = self._fill(merged, new)
         store = cp.checkpoint_store(self.store)
-        changed = stored(merged if self._by_minute else new, "changed")
+        changed = stored(merged if self._by_minute else cp.with_listed(new, self._seen), "changed")
         version = store.merge(changed, self.name, self.topic, self.stream_type)
         self.reset()
         return version
@@ -238,7 +269,6 @@ class Consumer:
     def pending_bytes(self) -> int:
         """Unread bytes over all partitions, by the stored checkpoint."""
         kinds = ["collector", "local"] if self.stream_type == "stitched" else [self.stream_type]
-        listed = [list_files(self.spark, self.roots, self.topic, kind) for kind in kinds]
-        files = reduce(DataFrame.unionByName, listed)
+        files = reduce(DataFrame.unionByName, map(self._files, kinds))
         sizes = metrics.backlog(files, self._checkpoint, self.stop)
         return sizes.agg(F.coalesce(F.sum("pending_bytes"), F.lit(0))).first()[0]

@@ -23,6 +23,8 @@ from minuteflow.sources import storage
 from minuteflow.sources.layout import to_minute
 
 FULLY_READ = -1
+# Stands in place of a collector in the row that tells up to which minute directory all was read.
+LISTED = ""
 MINUTES_PER_HOUR = 60
 _ONE_MINUTE = "interval 1 minute"
 
@@ -359,6 +361,35 @@ def load_checkpoint(
     return checkpoint_store(store).load(spark, consumer, topic)
 
 
+def listed_until(checkpoint: DataFrame) -> dict[str, datetime]:
+    """Cluster -> the minute directory before which a stitched consumer has read everything.
+
+    Files are committed to the newest minute, so what comes later lies there or beyond.
+    """
+    rows = checkpoint.filter(F.col("collector") == LISTED)
+    text = F.date_format("minute", "yyyy-MM-dd HH:mm:ss").alias("minute")
+    return {r.cluster: datetime.fromisoformat(r.minute) for r in rows.select("cluster", text).collect()}
+
+
+def with_listed(positions: DataFrame, seen: dict[str, datetime]) -> DataFrame:
+    """Collector positions with a row per cluster for :func:`listed_until`."""
+    if not seen:
+        return positions
+    rows = positions.sparkSession.createDataFrame(
+        [(c, LISTED, m.isoformat(" ")) for c, m in seen.items()],
+        "cluster string, collector string, minute string",
+    )
+    return positions.unionByName(
+        rows.select(
+            "cluster",
+            "collector",
+            F.col("minute").cast("timestamp").alias("minute"),
+            F.lit(None).cast(positions.schema["file_key"].dataType).alias("file_key"),
+            F.lit(FULLY_READ).cast("long").alias("line_no"),
+        )
+    )
+
+
 def rename_clusters(checkpoint: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Move positions to new cluster names; others keep theirs."""
     if not mapping:

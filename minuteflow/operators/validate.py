@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from minuteflow.session import stored
+
 # Fixed delimiter of the payload: a slash and the letter t, not a tab.
 DELIMITER = "/t"
 
@@ -52,16 +54,55 @@ def duplicates(parsed: DataFrame, producers: int) -> DataFrame:
     return sequence_counts(parsed).agg(F.coalesce(F.sum(extra), F.lit(0)).alias("duplicates"))
 
 
-def missing(parsed: DataFrame, max_seq: int, producers: int) -> DataFrame:
-    """Numbers that arrived from too few producers, with the count that did arrive."""
+def missing_ranges(parsed: DataFrame, max_seq: int, producers: int) -> DataFrame:
+    """Runs ``first`` to ``last`` of numbers in 1..``max_seq`` with equally many ``arrivals``, too few.
+
+    Only numbers that arrived are ordered, by ranges, so a gap of any length is one row. Each task finds
+    the runs between its own numbers; the first and last number of every task, one row each, come
+    to the driver and give what lies between tasks.
+    """
     spark = parsed.sparkSession
-    expected = spark.range(1, max_seq + 1).withColumnRenamed("id", "seq")
-    arrived = F.coalesce("arrivals", F.lit(0))
-    return (
-        expected.join(sequence_counts(parsed), "seq", "left")
-        .select("seq", arrived.alias("arrivals"))
-        .filter(F.col("arrivals") < producers)
+    counts = sequence_counts(parsed).filter(F.col("seq").between(1, max_seq))
+    ordered = stored(
+        counts.repartitionByRange("seq").sortWithinPartitions("seq").withColumn(
+            "_task", F.spark_partition_id()
+        ),
+        "arrived",
+    )
+    edges = ordered.groupBy("_task").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    before, rows = 0, []
+    for edge in sorted(edges.collect(), key=lambda e: e["first"]):
+        rows.append((edge["_task"], before))
+        before = edge["last"]
+    border = spark.createDataFrame(rows, "_task int, _border long")
+    # A number of its task's rows goes after the one before it there, or after the task before.
+    earlier = Window.partitionBy("_task").orderBy("seq")
+    placed = ordered.join(F.broadcast(border), "_task").withColumn(
+        "_before", F.coalesce(F.lag("seq").over(earlier), "_border")
     )
+    gaps = placed.filter(F.col("seq") > F.col("_before") + 1).select(
+        (F.col("_before") + 1).alias("first"),
+        (F.col("seq") - 1).alias("last"),
+        F.lit(0).cast("long").alias("arrivals"),
+    )
+    if before < max_seq:
+        gaps = gaps.unionByName(
+            spark.createDataFrame([(before + 1, max_seq, 0)], "first long, last long, arrivals long")
+        )
+    # Numbers that follow each other with the same count make one run, per task.
+    few = placed.filter(F.col("arrivals") < producers)
+    run = Window.partitionBy("_task", "arrivals").orderBy("seq")
+    few = few.withColumn("_run", F.col("seq") - F.row_number().over(run))
+    runs = few.groupBy("_task", "arrivals", "_run").agg(
+        F.min("seq").alias("first"), F.max("seq").alias("last")
+    )
+    return gaps.unionByName(runs.select("first", "last", "arrivals"))
+
+
+def missing(parsed: DataFrame, max_seq: int, producers: int) -> DataFrame:
+    """Numbers that arrived from too few producers, with the count that did arrive."""
+    ranges = missing_ranges(parsed, max_seq, producers)
+    return ranges.select(F.explode(F.sequence("first", "last")).alias("seq"), "arrivals")
 
 
 def latency(parsed: DataFrame, producers: int, arrival_ms: str = "arrival_ms") -> DataFrame:

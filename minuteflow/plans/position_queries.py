@@ -299,7 +299,7 @@ def p13_group_marks(spark, sf_dir):
         for k, member in members.items():
             rows = tables.message_fields(member.read()).select("event_id")
             reads.append(rows.withColumns({"member": F.lit(k).cast("long"), "read_no": F.lit(number).cast("long")}))
-        for k in (2, 1) if number % 2 else (1, 2):
+        for k in {1: (2, 1), 2: (1, 2)}.get(number, ()):
             members[k].mark()
     return reduce(DataFrame.unionByName, reads)
 

@@ -58,6 +58,24 @@ def v3_missing(spark, sf_dir):
     return validate.missing(_parsed(spark, sf_dir), _top(spark, sf_dir), PRODUCERS)
 
 
+@query(
+    "v3_missing_ranges",
+    f"""SELECT arrivals, CAST(count(*) AS BIGINT) AS numbers, CAST(sum(seq) AS BIGINT) AS total FROM (
+          SELECT r.seq, coalesce(a.arrivals, 0) AS arrivals
+          FROM (SELECT unnest(generate_series(1, {TOP_SQL})) AS seq) r
+          LEFT JOIN {ARRIVALS_SQL} a USING (seq) WHERE coalesce(a.arrivals, 0) < 4)
+        GROUP BY arrivals""",
+)
+def v3_missing_ranges(spark, sf_dir):
+    """How many numbers arrived how often, and their sum, from ranges alone."""
+    found = validate.missing_ranges(_parsed(spark, sf_dir), _top(spark, sf_dir), PRODUCERS)
+    n = F.col("last") - F.col("first") + 1
+    return found.groupBy("arrivals").agg(
+        F.sum(n).alias("numbers"),
+        F.sum(F.expr("(first + last) * (last - first + 1) div 2")).alias("total"),
+    )
+
+
 VERDICT_SQL = f"""count(*) AS received, count(*) FILTER (broken) AS corrupt,
   count(*) FILTER (NOT broken AND filler <> 'N') AS mismatches, {EXTRA_SQL} AS duplicates,
   {TOP_SQL} - {FULL_SQL} AS missing, {OUTSIDE_SQL} AS unexpected"""

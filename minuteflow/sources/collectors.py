@@ -37,10 +37,11 @@ def in_flight_files(
     topic: str,
     start: datetime | None = None,
     stop: datetime | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """A written table with one row per collector file that has a whole line.
 
-    It holds the position columns and ``end``, the offset after the last newline.
+    Files that ``where`` leaves out are listed, but not opened. The table holds the position columns and ``end``, the offset after the last newline.
     Whatever reads by this table reads the same lines, however the files grow.
     """
     require_utc(spark)
@@ -63,6 +64,7 @@ def in_flight_files(
         "file_dir", "file_name", F.col("mtime").alias("file_mtime"), "path", "length",
         root_of.alias("root"),
     )
+    files = files if where is None else files.filter(where)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
     ended = files.mapInArrow(_with_end, f"{kinds}, end long")
     return stored(ended.filter("end > 0"), "in_flight")
@@ -160,21 +162,23 @@ def read_stitched(
     start: datetime | None = None,
     stop: datetime | None = None,
     where: Column | None = None,
+    committed_from: datetime | None = None,
 ) -> DataFrame:
     """Collector files and their committed copies, each file once.
 
     Collector files are listed first, committed ones second, and a file in both
     lists is read from its committed copy. One that is moved later is followed to
-    its copy when it is read. ``where`` leaves out files, by the columns of ``FILE_KEY``.
+    its copy when it is read. ``where`` leaves out files, by the columns of ``FILE_KEY``, before
+    they are opened. Minute directories before ``committed_from`` are not even listed.
     """
     check_range(start, stop)
-    files = in_flight_files(spark, roots, topic, start, stop)
-    files = files if where is None else files.filter(where)
+    files = in_flight_files(spark, roots, topic, start, stop, where)
     if not local:
         return _scan(files)
     # A file is committed to its own minute or a later one, so only the lower
     # bound can prune directories; the file-name minute decides.
-    committed = read_minutes(spark, roots, topic, "local", start=start)
+    lowest = max(filter(None, [start, committed_from]), default=None)
+    committed = read_minutes(spark, roots, topic, "local", start=lowest)
     committed = time_range(committed, start, stop, axis="file_minute")
     committed = committed if where is None else committed.filter(where)
     columns = [*POSITION_COLUMNS, "value"]

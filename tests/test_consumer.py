@@ -8,6 +8,7 @@ from conftest import encoded, texts_of
 from minuteflow.consumer import Consumer
 from minuteflow.operators import checkpoint as cp
 from minuteflow.operators.positions import mark_points, number_messages, with_positions
+from minuteflow.sources import collectors
 from minuteflow.sources.minutes import read_minutes, read_sequence_values
 from minuteflow.streaming.minute_source import stream_minutes
 from minuteflow.streaming.stats import ReaderStats, observed
@@ -247,6 +248,44 @@ def test_stitched_consumer(spark, stream, tmp_path):
     assert texts_of(consumer.read()) == ["f"]
 
 
+def test_increments_list_only_what_came_since(spark, stream, tmp_path, monkeypatch):
+    """After a mark neither minute directories before it nor files read whole are looked at."""
+    hours = [T0 + timedelta(hours=h) for h in range(5)]
+    for i, minute in enumerate(hours):
+        stream.commit(minute, [f"m{i}"], file_minute=minute - ONE)
+    stream.collect(hours[-1], ["n0"])
+    done = stream.collect(hours[-1] - ONE, ["old"], collector="collector2")
+    consumer = make(spark, stream, tmp_path, stream_type="stitched")
+    assert texts_of(consumer.read(2)) == ["m0", "m1"]
+    consumer.mark()  # a limited read leaves older files, so all of them are listed again
+    assert texts_of(consumer.read()) == ["m2", "m3", "m4", "n0", "old"]
+    consumer.mark()
+    listed = []
+    plain = collectors.read_minutes
+
+    def watched(*args, **options):
+        frame = plain(*args, **options)
+        listed.extend(frame.inputFiles())
+        return frame
+
+    monkeypatch.setattr(collectors, "read_minutes", watched)
+    # The old file may not be opened again; a broken file in an old directory is not seen.
+    done.unlink()
+    done.mkdir()
+    (stream.minute_dir(hours[1]) / "broken").write_bytes(b"\x1f\x8b")
+    stream.commit(hours[-1] + ONE, ["n0", "n1"], file_minute=hours[-1])
+    stream.collector_file(hours[-1]).unlink()
+    stream.commit(hours[-1] + 2 * ONE, ["late"], collector="collector9", file_minute=hours[0])
+    again = make(spark, stream, tmp_path, stream_type="stitched")
+    assert texts_of(again.read()) == ["late", "n1"]
+    assert len(listed) == 3 and not any("broken" in path for path in listed)
+    again.mark()
+    # What was listed is a row beside the positions.
+    store = cp.FileCheckpointStore(str(tmp_path / "store"))
+    kept = store.load(spark, "c1", stream.topic)
+    assert sorted(r.collector for r in kept.collect()) == ["", "collector1", "collector2", "collector9"]
+
+
 def test_new_collector_starts_by_the_options(spark, stream, tmp_path):
     stream.collect(T0 + 2 * ONE, ["a"])
     consumer = make(spark, stream, tmp_path, stream_type="collector")

@@ -162,6 +162,19 @@ def test_verdicts(spark, payloads, producers, top, want):
     assert validate.missing(parsed, top, producers).count() == want[1]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_missing_as_ranges(spark, parts):
+    arrived = [2, 2, 3, 7, 8, 9, 9, 9, 20, 500, 700] * 1 + [None]
+    parsed = spark.createDataFrame([(n,) for n in arrived], "seq long").repartition(parts)
+    ranges = validate.missing_ranges(parsed, 600, 2).collect()
+    got = sorted((n, r.arrivals) for r in ranges for n in range(r["first"], r["last"] + 1))
+    want = [(n, arrived.count(n)) for n in range(1, 601) if arrived.count(n) < 2]
+    assert got == want
+    assert (21, 499, 0) in {tuple(r) for r in ranges}
+    assert [tuple(r) for r in validate.missing_ranges(parsed.limit(0), 5, 1).collect()] == [(1, 5, 0)]
+    assert validate.missing(parsed, 600, 2).count() == len(want)
+
+
 def test_latency_counts_first_arrivals(spark):
     parsed = arrivals(spark, ["1/t900/tA", "1/t0/tA", "2/t990/tA", "bad"])
     row = validate.validate(parsed, 2, 1, "A", "arrival_ms").first()
