@@ -284,11 +284,11 @@ def p13_checkpoint_store(spark, sf_dir):
         FROM {MESSAGES_SQL}""",
 )
 def p13_group_marks(spark, sf_dir):
-    """Two members of one name read half, mark in turn, start again, read the rest, and then nothing."""
+    """Two members of one name read half, mark, the second one first, start again and read the rest."""
     roots = tables.local_roots(spark, sf_dir)
     store = work_dir(spark, "group")
     reads = []
-    for number, stop in enumerate((datetime(2024, 1, 1, 0, 3), None, None), 1):
+    for number, stop in enumerate((datetime(2024, 1, 1, 0, 3), None), 1):
         members = {
             k: Consumer(
                 spark, tables.TOPIC, "group", roots, store,
@@ -299,7 +299,7 @@ def p13_group_marks(spark, sf_dir):
         for k, member in members.items():
             rows = tables.message_fields(member.read()).select("event_id")
             reads.append(rows.withColumns({"member": F.lit(k).cast("long"), "read_no": F.lit(number).cast("long")}))
-        for k in {1: (2, 1), 2: (1, 2)}.get(number, ()):
+        for k in (2, 1) if stop else ():
             members[k].mark()
     return reduce(DataFrame.unionByName, reads)
 
