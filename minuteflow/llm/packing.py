@@ -3,10 +3,14 @@
 Texts become token pieces of at most ``capacity``. Pieces of one length are
 alike, so the search works on the histogram of lengths, which has ``capacity``
 entries however many pieces there are. Sequences are completed around the longest piece
-left: a depth-first branch and bound lists its undominated fillings (a piece
-that could be swapped for a longer one that fits is dominated), starts from
-the best-fit filling as incumbent and cuts branches whose waste cannot get below
-the incumbent's. A filling is used as often as the counts allow. Then every piece
+left: a depth-first branch and bound over whole packings chooses a filling for it, uses
+that as often as the counts allow (or half as often, or once) and goes on with what is left.
+
+The best-fit packing is the first incumbent. A branch is cut where the sequences it has used and a
+lower bound for the rest cannot beat the incumbent, and a filling where it wastes more
+than a better packing could. Dominated fillings (where pieces could make way for one longer
+piece that is left) are passed over. The search ends when the incumbent meets the lower bound,
+when nothing is left to try, or after about ``budget`` partial fillings. Then every piece
 finds its place by its number among the pieces of its length.
 """
 
@@ -26,7 +30,9 @@ CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 END_ID = 0
-NODES = 2_000
+NODES = 2_000  # partial fillings looked at for one longest piece
+BUDGET = 50_000  # partial fillings looked at in all
+CHOICE = 20  # what a filling chosen counts against the budget besides
 
 
 def completion(counts: np.ndarray, room: int, nodes: int = NODES) -> list[int]:
@@ -35,6 +41,11 @@ def completion(counts: np.ndarray, room: int, nodes: int = NODES) -> list[int]:
     ``nodes`` bounds the search; the incumbent is the best-fit filling until a
     better one is found.
     """
+    return _completed(counts, room, nodes)[0]
+
+
+def _completed(counts: np.ndarray, room: int, nodes: int) -> tuple[list[int], int]:
+    """The filling of least waste, and how many partial fillings were looked at."""
     left = [int(x) for x in np.flatnonzero(counts[: room + 1])][::-1]  # longest first
     best, rest = [], room
     for length in left:  # best fit: the longest piece that fits, again and again
@@ -61,25 +72,183 @@ def completion(counts: np.ndarray, room: int, nodes: int = NODES) -> list[int]:
         stack.append((k + 1, rest, chosen))
         for n in range(1, most + 1):
             stack.append((k + 1, rest - n * length, (*chosen, (length, n))))
-    return best
+    return best, nodes - budget
 
 
-def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Fillings by best fit decreasing, as (times, lengths)."""
-    return _fill(counts, capacity, 0)
-
+def least_sequences(counts: np.ndarray, capacity: int) -> int:
+    """A lower bound of the sequences that pieces need.
 
-def bin_completion(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[tuple[int, tuple[int, ...]]]:
+    Pieces over half the capacity have a sequence each. For every size ``a`` up to that half, the
+    room these leave beside pieces of ``a`` or more is filled with the smaller ones of at least ``a``.
+    """
+    lengths = np.arange(capacity + 1)
+    n, total = np.cumsum(counts[: capacity + 1]), np.cumsum(counts[: capacity + 1] * lengths)
+    half = capacity // 2
+    a = lengths[: half + 1]
+    small = total[half] - np.r_[0, total[: half]]
+    room = (n[capacity - a] - n[half]) * capacity - (total[capacity - a] - total[half])
+    return int(n[capacity] - n[half] + max(0, -(-(small - room) // capacity).min()))
+
+
+def dominated(left: np.ndarray, chosen: tuple[int, ...], rest: int) -> bool:
+    """Whether one of the pieces ``left`` beside a filling could take the place of none, one or more
+    of its pieces within the ``rest`` of the room; of pieces as long as it only if they are several.
+    """
+    free = left.copy()
+    np.subtract.at(free, list(chosen), 1)
+    others = int.from_bytes(np.packbits(free > 0, bitorder="little").tobytes(), "little")
+    one, several = 0, 0  # bit s: a piece, or several, of the filling have length s together
+    for length in chosen:
+        several |= (several | one) << length
+        one |= 1 << length
+    # A longer piece may have 0 to ``rest`` more than several, or 1 to ``rest`` more than one or none.
+    single = _spread((1 | one) << 1, rest - 1) if rest else 0
+    return bool((_spread(several, rest) | single) & others)
+
+
+def _spread(bits: int, most: int) -> int:
+    """Bits shifted by 0, 1, ... and ``most``."""
+    done = 0
+    while done < most:
+        step = min(done + 1, most - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+class _Search:
+    """Branch and bound over packings of a histogram of lengths."""
+
+    def __init__(self, counts: np.ndarray, capacity: int, nodes: int, budget: int):
+        self.left = counts.astype(np.int64).copy()
+        self.capacity, self.nodes, self.budget = capacity, nodes, budget
+        self.best = best_fit(counts, capacity)
+        self.most, self.used = _sequences(self.best), 0
+        self.lengths = np.arange(len(self.left))
+
+    def spare(self) -> int:
+        """What may be wasted from here on by a packing better than the incumbent."""
+        return (self.most - 1 - self.used) * self.capacity - int(self.left @ self.lengths)
+
+    def choices(self) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """(times, filling) around the longest piece left: the one of least waste, then others, as
+        often as they can be; then all of them half as often and once.
+        """
+        longest = int(np.flatnonzero(self.left)[-1])
+        room = self.capacity - longest
+        self.left[longest] -= 1
+        first, seen = _completed(self.left, room, self.nodes)
+        self.budget -= seen
+        first = tuple(first)
+        self.left[longest] += 1
+        yield from self._uses((longest, *first), 1)
+        if self.budget <= 0:
+            return
+        self.left[longest] -= 1
+        others = [chosen for chosen in self._fillings(room) if chosen != first]
+        self.left[longest] += 1
+        for chosen in others:
+            yield from self._uses((longest, *chosen), 1)
+        for chosen in (first, *others):
+            yield from self._uses((longest, *chosen), 2)
+
+    def _uses(self, chosen: tuple[int, ...], part: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        lengths, uses = np.unique(chosen, return_counts=True)
+        times = int((self.left[lengths] // uses).min())
+        waste, spare = self.capacity - sum(chosen), self.spare()
+        if waste:
+            times = min(times, spare // waste)
+        if spare >= 0 and times > 0:
+            for n in (times,) if part == 1 else sorted({(times + 1) // 2, 1} - {times}, reverse=True):
+                yield n, chosen
+
+    def _fillings(self, room: int) -> list[tuple[int, ...]]:
+        """Undominated fillings of ``room`` that a better packing could have, least waste first."""
+        left = [int(x) for x in np.flatnonzero(self.left[: room + 1])][::-1]
+        spare = self.spare() - (self.capacity - room)  # the longest piece is out of ``left``
+        lengths = np.array(left, np.int64)
+        after = np.cumsum((self.left[lengths] * lengths)[::-1])[::-1]
+        found, stack, nodes = [], [(0, room, ())], self.nodes
+        while stack and nodes:
+            nodes -= 1
+            self.budget -= 1
+            k, rest, chosen = stack.pop()
+            k = k + int(np.searchsorted(-lengths[k:], -rest)) if k < len(left) else k
+            if k >= len(left):
+                if rest <= spare and not dominated(self.left, chosen, rest):
+                    found.append((rest, chosen))
+                continue
+            if rest - int(after[k]) > spare:
+                continue
+            most = min(int(self.left[left[k]]), rest // left[k])
+            for n in range(most + 1):
+                stack.append((k + 1, rest - n * left[k], chosen + (left[k],) * n))
+        return [chosen for _, chosen in sorted(found, key=lambda f: f[0])]
+
+    def run(self) -> list[tuple[int, tuple[int, ...]]]:
+        """Packings that take another than the first choice never, once, twice, four times and so on."""
+        bound, other, whole = least_sequences(self.left, self.capacity), 0, not self.left.any()
+        while not whole and self.most > bound and self.budget > 0:
+            whole = self._descend(bound, other)
+            other = max(1, 2 * other)
+        return self.best
+
+    def _descend(self, bound: int, others: int) -> bool:
+        """Search packings with at most ``others`` other choices; whether that left none out."""
+        path: list[tuple[int, tuple[int, ...]]] = []
+        levels, whole = [(enumerate(self.choices()), 0)], True  # with the other choices made above
+        while levels:
+            choices, before = levels[-1]
+            again = len(path) == len(levels)
+            if again:  # take back what this level chose before
+                self._take(*path.pop(), -1)
+            ended = self.most <= bound or (self.budget <= 0 and others)
+            if again and before == others:
+                ended, whole = True, False
+            k, choice = (0, None) if ended else next(choices, (0, None))
+            spent = before + (k > 0)
+            if choice is None:
+                levels.pop()
+                continue
+            self.budget -= CHOICE
+            path.append(choice)
+            self._take(*choice, 1)
+            if not self.left.any():
+                self.best, self.most = list(path), self.used
+            elif self.used + least_sequences(self.left, self.capacity) < self.most:
+                levels.append((enumerate(self.choices()), spent))
+        return whole and self.budget > 0
+
+    def _take(self, times: int, chosen: tuple[int, ...], sign: int) -> None:
+        np.subtract.at(self.left, list(chosen), sign * times)
+        self.used += sign * times
+
+
+def bin_completion(
+    counts: np.ndarray, capacity: int, nodes: int = NODES, budget: int = BUDGET
+) -> list[tuple[int, tuple[int, ...]]]:
     """Fillings around the longest piece left, as (times, lengths).
 
-    The best-fit packing stays unless this one needs fewer sequences.
+    ``nodes`` partial fillings are looked at for one piece and about ``budget`` in all. Within them no
+    packing has fewer sequences; where they end the search, the best packing found so far stays. If every
+    length is there several times, the packing of a fewest-th part of all pieces, that often, is tried too.
     """
-    searched, plain = _fill(counts, capacity, nodes), best_fit(counts, capacity)
-    total = lambda fillings: sum(n for n, _ in fillings)
-    return searched if total(searched) < total(plain) else plain
+    best = _Search(counts, capacity, nodes, budget).run()
+    fewest = int(counts[1:].max(initial=0) and counts[1:][counts[1:] > 0].min())
+    if fewest > 1 and _sequences(best) > least_sequences(counts, capacity):
+        part = _Search(counts // fewest, capacity, nodes, budget // 2).run()
+        rest = bin_completion(counts % fewest, capacity, nodes, budget // 2)
+        repeated = [*((fewest * times, chosen) for times, chosen in part), *rest]
+        best = min(best, repeated, key=_sequences)
+    return best
+
 
+def _sequences(fillings: list[tuple[int, tuple[int, ...]]]) -> int:
+    return sum(times for times, _ in fillings)
 
-def _fill(counts: np.ndarray, capacity: int, nodes: int) -> list[tuple[int, tuple[int, ...]]]:
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Fillings by best fit decreasing, as (times, lengths)."""
     left = counts.astype(np.int64).copy()
     fillings = []
     longest = len(left) - 1
@@ -89,7 +258,7 @@ def _fill(counts: np.ndarray, capacity: int, nodes: int) -> list[tuple[int, tupl
         if longest <= 0:
             return fillings
         left[longest] -= 1
-        chosen = (longest, *completion(left, capacity - longest, nodes))
+        chosen = (longest, *completion(left, capacity - longest, 0))
         left[longest] += 1
         lengths, uses = np.unique(chosen, return_counts=True)
         # At most 1 + capacity/length times a length is what ends a filling's use,
@@ -184,13 +353,14 @@ def packed(
     tokenizer: str | None = None,
     ranks: str | None = None,
     nodes: int = NODES,
+    budget: int = BUDGET,
 ) -> DataFrame:
     """Where every piece of every document goes: ``doc_id``, ``piece``, ``start``, ``length``,
     ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A null or empty text is one piece of the end token. Null and repeated ids and
-    repeated rows give pieces of their own; further columns are ignored; an empty
-    table gives no rows. Texts are tokenised once and only their pieces are kept.
+    repeated rows give pieces of their own; very long texts are cut into pieces that fill sequences but for
+    the first; further columns are ignored; an empty table gives no rows. Texts are tokenised once and only their pieces are kept.
     """
     pieces = kept(token_pieces(docs, capacity, tokenizer, ranks), "pieces")
     # Numbers among all pieces of a length: those of earlier tasks come before.
@@ -202,7 +372,7 @@ def packed(
     counts = np.zeros(capacity + 1, np.int64)
     for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[r.length] = r.n
-    table = places(bin_completion(counts, capacity, nodes))
+    table = places(bin_completion(counts, capacity, nodes, budget))
     by_length: dict[int, np.ndarray] = {}
     for length, *rest in table:
         by_length.setdefault(length, []).append(rest)

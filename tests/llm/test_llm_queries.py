@@ -328,6 +328,55 @@ def test_completion_is_least_waste():
         assert all(best.count(x) <= counts[x] for x in best)
 
 
+def fewest_sequences(lengths, capacity):
+    """Every way to put pieces into sequences, longest first."""
+    lengths = sorted(lengths, reverse=True)
+
+    def put(k, rooms, best):
+        if len(rooms) >= best or k == len(lengths):
+            return min(best, len(rooms))
+        for room in {r for r in rooms if r >= lengths[k]}:
+            others = list(rooms)
+            others.remove(room)
+            best = put(k + 1, [*others, room - lengths[k]], best)
+        return put(k + 1, [*rooms, capacity - lengths[k]], best)
+
+    return put(0, [], len(lengths))
+
+
+def test_bin_completion_needs_fewest():
+    rng = np.random.default_rng(7)
+    for capacity in (20, 64, 2048) * 40:
+        lengths = rng.integers(capacity // 9 + 1, capacity * 6 // 10, rng.integers(1, 11)).tolist()
+        counts = np.bincount(lengths, minlength=capacity + 1)
+        fillings = packing.bin_completion(counts, capacity)
+        used = np.zeros(capacity + 1, np.int64)
+        for times, chosen in fillings:
+            assert sum(chosen) <= capacity
+            np.add.at(used, list(chosen), times)
+        assert (used == counts).all()
+        fewest = fewest_sequences(lengths, capacity)
+        assert sum(times for times, _ in fillings) == fewest
+        assert packing.least_sequences(counts, capacity) <= fewest
+
+
+@pytest.mark.parametrize("times", [1, 1000, 10**9])
+def test_bin_completion_beats_best_fit(times):
+    lengths = [1009, 468, 1011, 804, 1001, 379, 882, 1047, 243, 528, 772]
+    counts = np.bincount(lengths, minlength=2049) * times
+    assert sum(n for n, _ in packing.best_fit(counts, 2048)) > 4 * times
+    assert sum(n for n, _ in packing.bin_completion(counts, 2048)) == 4 * times
+
+
+def test_dominated_fillings():
+    left = np.bincount([9, 7, 5, 4, 3, 3], minlength=21)
+    assert packing.dominated(left, (4, 3), 0)  # 7 takes the place of both
+    assert packing.dominated(left, (4,), 1)  # 5 takes the place of 4
+    assert packing.dominated(left, (9,), 3)  # 3 fits besides
+    assert not packing.dominated(left, (9, 7), 2)
+    assert not packing.dominated(left, (5, 3), 0)
+
+
 def test_token_splits_agree_with_whole_texts():
     import public_tokenizers as P
     import pyarrow as pa
