@@ -6,17 +6,18 @@ group, line numbers, resume and checkpoint store.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from minuteflow.operators import checkpoint as cp
 from minuteflow.operators import metrics, ranges
 from minuteflow.operators.positions import consume, partition_key, with_positions
 from minuteflow.session import broadcast_if_small, stored
-from minuteflow.sources import layout, storage
+from minuteflow.sources import layout, oplog, storage
 from minuteflow.sources.collectors import read_stitched
 from minuteflow.sources.listing import list_files, minute_dirs
 from minuteflow.sources.minutes import decode_messages, read_minutes
@@ -46,6 +47,10 @@ class Consumer:
     ``stitched`` collector and committed files, or ``collector`` files alone.
     The start is the stored checkpoint, else ``relative_minutes``, else
     ``start``, else ``start_of_stream``.
+
+    ``log`` is a folder for counts of what the consumer did (see :func:`oplog.consumed_log`): messages
+    are counted when they are marked, resets when they are asked for, and a marked read without
+    messages is a timeout.
     """
 
     spark: SparkSession
@@ -61,6 +66,7 @@ class Consumer:
     start_of_stream: bool = False
     stop: datetime | None = None
     now: datetime | None = None
+    log: str | None = None
     _checkpoint: DataFrame | None = field(default=None, init=False)
     _taken: DataFrame | None = field(default=None, init=False)
     _since: datetime | None = field(default=None, init=False)
@@ -71,7 +77,7 @@ class Consumer:
     def __post_init__(self) -> None:
         layout.named_roots(self.roots, self._directory_type)
         ranges.parse_group(self.group)
-        self.reset()
+        self._load()
 
     @property
     def _by_minute(self) -> bool:
@@ -83,6 +89,14 @@ class Consumer:
 
     def reset(self) -> None:
         """Go back to the last mark: the next read delivers from there again."""
+        self._load()
+        if self.log is not None:
+            self._write_log(f"reset-{uuid.uuid4().hex}", {"RESET": 1})
+
+    def _write_log(self, entry: str, kinds: dict[str, int]) -> None:
+        oplog.log_consumption(self.spark, self.log, entry, self.topic, self.name, kinds)
+
+    def _load(self) -> None:
         marks = cp.load_checkpoint(self.spark, self.store, self.name, self.topic)
         if marks is not None and self._by_minute:
             marks = cp.owned_positions(marks, self.group)
@@ -238,14 +252,22 @@ class Consumer:
         """
         if self._taken is None:
             raise ValueError("nothing was read since the last reset")
-        new = stored(cp.build_checkpoint(self._taken, self.stream_type), "positions")
+        seen, taken = Observation(), self._taken
+        if self.log is not None:
+            taken = taken.observe(seen, F.count(F.lit(1)).alias("n"))
+        new = stored(cp.build_checkpoint(taken, self.stream_type), "positions")
         merged = cp.merge_checkpoints(self._checkpoint, new, self.stream_type)
         if self._by_minute:
             merged = self._fill(merged, new)
         store = cp.checkpoint_store(self.store)
         changed = stored(merged if self._by_minute else cp.with_listed(new, self._seen), "changed")
         version = store.merge(changed, self.name, self.topic, self.stream_type)
-        self.reset()
+        if self.log is not None:
+            # A read without any line may have no plan left to be observed.
+            n = 0 if new.isEmpty() else int(seen.get["n"])
+            kinds = {"MESSAGE": n, "MARK": 1, "TIMEOUT": int(n == 0)}
+            self._write_log(f"mark-{self.name}-{self.topic}-{version}", kinds)
+        self._load()
         return version
 
     def _fill(self, merged: DataFrame, new: DataFrame) -> DataFrame:

@@ -102,15 +102,22 @@ def directory_lag(checkpoint: DataFrame, now: datetime) -> DataFrame:
     )
 
 
+def _events(log: DataFrame, kind: str) -> Column:
+    """Number of events of a kind in a log of single events, or of summed rows with ``n``."""
+    if "n" not in log.columns:
+        return F.count_if(F.col("kind") == kind)
+    return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+
+
 def consumer_stats(log: DataFrame) -> DataFrame:
-    """Counters of a consumption log ``topic, consumer, kind``."""
+    """Counters of a consumption log ``topic, consumer, kind``, with ``n`` events a row if it has ``n``."""
     names = {
         "MESSAGE": "messages_consumed",
         "MARK": "mark_calls",
         "RESET": "reset_calls",
         "TIMEOUT": "timeouts",
     }
-    counters = [F.count_if(F.col("kind") == kind).alias(name) for kind, name in names.items()]
+    counters = [_events(log, kind).alias(name) for kind, name in names.items()]
     return log.groupBy("topic", "consumer").agg(*counters)
 
 
@@ -147,8 +154,8 @@ def _file_stats(files: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _outcome_columns() -> list[Column]:
-    counters = [F.count_if(F.col("kind") == k).alias(v) for k, v in OUTCOME_COUNTERS.items()]
+def _outcome_columns(log: DataFrame) -> list[Column]:
+    counters = [_events(log, k).alias(v) for k, v in OUTCOME_COUNTERS.items()]
     return [*counters, F.coalesce(F.sum("nanos"), F.lit(0)).alias("cumulative_nanos")]
 
 
@@ -158,12 +165,13 @@ def _in_flight() -> Column:
 
 
 def publish_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Outcome counters of a publish log ``topic, publisher, kind, nanos``.
+    """Outcome counters of a publish log ``topic, publisher, kind, nanos``, with ``n`` events a row if it
+    has ``n``.
 
     ``in_flight`` is what was invoked and has no final outcome; oversized and
     unhandled messages stay in flight.
     """
-    stats = log.groupBy(*(by or ["topic"])).agg(*_outcome_columns())
+    stats = log.groupBy(*(by or ["topic"])).agg(*_outcome_columns(log))
     return stats.withColumn("in_flight", _in_flight())
 
 
@@ -171,7 +179,7 @@ def publish_totals(log: DataFrame) -> DataFrame:
     """Counters per topic and publisher, per topic and in all, without audit messages."""
     own = log.filter(F.col("topic") != AUDIT_TOPIC)
     stats = own.rollup("topic", "publisher").agg(
-        F.grouping_id().cast("int").alias("level"), *_outcome_columns()
+        F.grouping_id().cast("int").alias("level"), *_outcome_columns(own)
     )
     return stats.withColumn("in_flight", _in_flight())
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from minuteflow.session import stored
+from minuteflow.session import broadcast_if_small, stored
 
 # Fixed delimiter of the payload: a slash and the letter t, not a tab.
 DELIMITER = "/t"
@@ -105,19 +105,38 @@ def missing(parsed: DataFrame, max_seq: int, producers: int) -> DataFrame:
     return ranges.select(F.explode(F.sequence("first", "last")).alias("seq"), "arrivals")
 
 
+def _delays(parsed: DataFrame, arrival_ms: str) -> DataFrame:
+    return parsed.filter(F.col("seq").isNotNull() & F.col("sent_ms").isNotNull()).withColumn(
+        "_delay", F.col(arrival_ms) - F.col("sent_ms")
+    )
+
+
 def latency(parsed: DataFrame, producers: int, arrival_ms: str = "arrival_ms") -> DataFrame:
     """Sum of delays over the first ``producers`` arrivals of each number.
 
-    The rank filter is a bounded top-k per number, so Spark cuts each group
-    before the shuffle and a much repeated number stays small.
+    Delays are added up per number in one pass; only numbers that arrived too often are looked at again.
     """
-    timed = parsed.filter(F.col("seq").isNotNull() & F.col("sent_ms").isNotNull())
-    order = Window.partitionBy("seq").orderBy(arrival_ms, "sent_ms")
-    first = timed.withColumn("_rank", F.row_number().over(order)).filter(
-        F.col("_rank") <= producers
+    per_seq = _delays(parsed, arrival_ms).groupBy("seq").agg(
+        F.count(F.lit(1)).alias("timed"), F.sum("_delay").alias("delay")
     )
-    delay = F.col(arrival_ms) - F.col("sent_ms")
-    return first.agg(F.coalesce(F.sum(delay), F.lit(0)).alias("total_latency_ms"))
+    return _first_delays(parsed, stored(per_seq, "delays"), producers, arrival_ms)
+
+
+def _first_delays(parsed: DataFrame, per_seq: DataFrame, producers: int, arrival_ms: str) -> DataFrame:
+    """``total_latency_ms`` from ``seq, timed, delay`` of every number.
+
+    Only numbers that arrived more often than ``producers`` are ordered, and without them messages
+    are not read again. Spark cuts each such number to its first arrivals before the shuffle.
+    """
+    often = per_seq.filter((F.col("timed") > producers) & F.col("seq").isNotNull()).select("seq")
+    seldom = per_seq.filter(F.col("timed") <= producers)
+    parts = seldom.filter(F.col("seq").isNotNull()).select("delay")
+    if not often.isEmpty():
+        rows = _delays(parsed, arrival_ms).join(broadcast_if_small(often), "seq", "left_semi")
+        order = Window.partitionBy("seq").orderBy(arrival_ms, "sent_ms")
+        first = rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= producers)
+        parts = parts.unionByName(first.select(F.col("_delay").alias("delay")))
+    return parts.agg(F.coalesce(F.sum("delay"), F.lit(0)).alias("total_latency_ms"))
 
 
 def validate(
@@ -130,11 +149,19 @@ def validate(
     """One row: counters and ``success``."""
     seq, arrivals = F.col("seq"), F.col("arrivals")
     # One pass: counts per number, then totals. Unreadable numbers share the NULL group.
+    timed = {}
+    if arrival_ms is not None:
+        known = F.col("sent_ms").isNotNull()
+        delay = F.when(known, F.col(arrival_ms) - F.col("sent_ms"))
+        timed = {"timed": F.count_if(known), "delay": F.sum(delay)}
     per_seq = parsed.groupBy("seq").agg(
+        *[value.alias(name) for name, value in timed.items()],
         F.count(F.lit(1)).alias("arrivals"),
         F.count_if("corrupt").alias("corrupt"),
         F.count_if(~F.col("corrupt") & (F.col("filler") != filler)).alias("mismatches"),
     )
+    if timed:
+        per_seq = stored(per_seq, "per-number")
     in_range = seq.between(1, max_seq)
     extra = F.when(seq.isNotNull(), F.greatest(arrivals - producers, F.lit(0)))
     sums = {"received": arrivals, "corrupt": F.col("corrupt"), "mismatches": F.col("mismatches"), "duplicates": extra}
@@ -145,7 +172,9 @@ def validate(
     )
     if arrival_ms is not None:
         # Two frames of one row each: stacked, then the only value of every column taken.
-        stacked = out.unionByName(latency(parsed, producers, arrival_ms), allowMissingColumns=True)
+        stacked = out.unionByName(
+            _first_delays(parsed, per_seq, producers, arrival_ms), allowMissingColumns=True
+        )
         mean = F.when(F.col("received") > 0, F.expr("total_latency_ms div received"))
         out = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
         out = out.withColumn("mean_latency_ms", mean).drop("total_latency_ms")

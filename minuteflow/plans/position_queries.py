@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from minuteflow.consumer import Consumer
 from minuteflow.operators import checkpoint as cp
-from minuteflow.operators import ranges
+from minuteflow.operators import metrics, ranges
 from minuteflow.operators.positions import consume, with_positions
 from minuteflow.plans import tables
 from minuteflow.plans.registry import MESSAGES_SQL, query
 from minuteflow.session import work_dir
+from minuteflow.sources import oplog
 from minuteflow.sources.collectors import read_collectors
 from minuteflow.sources.minutes import decode_messages, read_minutes
 
@@ -277,6 +278,32 @@ def p13_checkpoint_store(spark, sf_dir):
     return _show(cp.load_checkpoint(spark, store, "consumer", tables.TOPIC))
 
 
+@query(
+    "m3_consumer_log",
+    f"""SELECT 'logged' AS consumer, CAST(count(*) AS BIGINT) AS messages_consumed,
+        CAST(3 AS BIGINT) AS mark_calls, CAST(1 AS BIGINT) AS reset_calls, CAST(1 AS BIGINT) AS timeouts
+        FROM {MESSAGES_SQL}""",
+)
+def m3_consumer_log(spark, sf_dir):
+    """Counts from the log of a consumer that reads half, marks, starts again, reads the rest, resets, reads
+    and marks it, and then finds nothing more.
+    """
+    roots, log = tables.local_roots(spark, sf_dir), work_dir(spark, "log")
+    store = work_dir(spark, "logged")
+    for stop in (datetime(2024, 1, 1, 0, 3), None):
+        member = Consumer(
+            spark, tables.TOPIC, "logged", roots, store, start_of_stream=True, stop=stop, log=log
+        )
+        member.read()
+        if stop is None:
+            member.reset()
+            member.read()
+        member.mark()
+    member.read()
+    member.mark()
+    return metrics.consumer_stats(oplog.consumed_log(spark, log)).drop("topic")
+
+
 @query(
     "p13_group_marks",
     f"""SELECT event_id, CAST(minute(block + INTERVAL 1 MINUTE) % 2 + 1 AS BIGINT) AS member,

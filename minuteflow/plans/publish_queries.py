@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from minuteflow.functions import codec
-from minuteflow.operators import audit
+from minuteflow.operators import audit, metrics
 from minuteflow.plans import tables
 from minuteflow.plans.registry import MESSAGES_SQL, query
 from minuteflow.session import work_dir
+from minuteflow.sources import oplog
 from minuteflow.sources import publish as sink
 from minuteflow.sources.minutes import read_messages
 from minuteflow.streaming.sinks import audit_stream, publish_stream, read_packets, windowed_counts
@@ -124,6 +125,35 @@ def k4_size_guard(spark, sf_dir):
     )
 
 
+@query(
+    "m5_published_log",
+    """SELECT topic, CAST(count(*) AS BIGINT) AS invocations,
+       CAST(count(*) FILTER (NOT over) AS BIGINT) AS success,
+       CAST(count(*) FILTER (over) AS BIGINT) AS exceeded_size,
+       CAST(count(*) FILTER (over) AS BIGINT) AS in_flight
+       FROM (SELECT source AS topic, octet_length(encode(text)) + 16 > 8192 AS over FROM documents
+             WHERE source IS NOT NULL AND text IS NOT NULL AND doc_id % 7 <> 0) GROUP BY topic""",
+)
+def m5_published_log(spark, sf_dir):
+    """Statistics from the log that two publishes left, with null and oversized messages among them;
+    a third with the tag of the second adds nothing.
+    """
+    root = work_dir(spark, "logged")
+    docs = tables.table(spark, sf_dir, "documents").select(
+        F.col("source").alias("topic"),
+        F.when(F.col("doc_id") % 7 != 0, F.col("text").cast("binary")).alias("payload"),
+        F.lit(1704067200000).alias("ms"),
+        (F.col("doc_id") % 2 == 0).alias("even"),
+    )
+    for even, tag in ((True, "even"), (False, "odd"), (False, "odd")):
+        sink.publish(
+            docs.filter(F.col("even") == even), root, audit_ts="ms", max_size=8192,
+            minute=F.lit("2024-01-01").cast("timestamp"), tag=tag, publisher="pages",
+        )
+    stats = metrics.publish_stats(oplog.published_log(spark, root))
+    return stats.select("topic", "invocations", "success", "exceeded_size", "in_flight")
+
+
 @query(
     "k5_route",
     """SELECT CASE event_type WHEN 'click' THEN 'click' || (user_id % 2)

@@ -16,18 +16,20 @@ One publisher at a time may write a topic of a root.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from minuteflow.functions import codec, filenames
 from minuteflow.operators.ranges import minute_literal
 from minuteflow.session import broadcast_if_small, require_utc
-from minuteflow.sources import layout, storage
+from minuteflow.sources import layout, oplog, storage
 
 MAX_MESSAGE_SIZE = 50 * 1024
 _KEY_FORMAT = "yyyyMMddHHmm"
@@ -252,6 +254,7 @@ def publish(
     compact: bool | None = None,
     tag: str | None = None,
     rejected_to: str | None = None,
+    publisher: str | None = None,
 ) -> Published:
     """Append messages to topics as Base64 lines.
 
@@ -260,6 +263,9 @@ def publish(
     open minute. ``audit_ts`` names a column of ms to put in an audit header.
     NULL topics, NULL payloads and oversized messages are counted, not
     published; ``rejected_to`` keeps them as a parquet table with a reason.
+    With ``publisher`` the outcomes per topic are logged under that name, once per tag (see
+    :func:`oplog.published_log`). Successes are counted in the lines written; oversized messages
+    are counted in ``df`` again if there are any. ``nanos`` of a success is the time of the whole batch.
     """
     if stream_type not in ("collector", "local", "merged"):
         raise ValueError(f"cannot publish to stream type {stream_type}")
@@ -268,6 +274,7 @@ def publish(
     root = storage.qualify(spark, root)
     tag = tag or uuid.uuid4().hex
     stage = f"{root}/_staging/{tag}"
+    began = time.perf_counter_ns()
     if storage.exists(f"{stage}/_COMMITTED"):
         counts = json.loads(storage.read_text(f"{stage}/counts.json"))
         files = spark.read.parquet(layout.range_path(f"{stage}/plan"))
@@ -283,12 +290,11 @@ def publish(
         if rejected_to is not None:
             refused = checked.filter(F.col("reason").isNotNull()).drop("_payload")
             refused.write.mode("overwrite").parquet(f"{rejected_to}/tag={tag}")
-        seen = Observation()
-        checked = checked.observe(
-            seen,
+        seen, totals = Observation(), [
             F.count_if(F.col("reason").isNull()).alias("accepted"),
             F.count_if(F.col("reason").isNotNull()).alias("rejected"),
-        )
+        ]
+        unobserved, checked = checked, checked.observe(seen, *totals)
         good = checked.filter(F.col("reason").isNull())
         backfill = isinstance(minute, Column)
         when = minute if backfill else minute_literal(minute or layout.utc_now())
@@ -304,8 +310,10 @@ def publish(
         codec_name = "none" if stream_type == "collector" else "gzip"
         compact = backfill if compact is None else compact
         _write_lines(good, stage, columns, codec_name, compact, order_by)
-        counts = {k: int(v) for k, v in seen.get.items()}
+        counts = _observed(seen) or unobserved.agg(*totals).first().asDict()
         storage.write_text(f"{stage}/counts.json", json.dumps(counts))
+        if publisher is not None:
+            _count_outcomes(spark, stage, unobserved, topic, counts)
         plan = _plan(spark, root, stage, stream_type) if counts["accepted"] else _no_files(spark)
         plan = _with_start(spark, root, stream_type, plan)
         plan.write.mode("overwrite").parquet(f"{stage}/plan")
@@ -314,10 +322,38 @@ def publish(
     counts = json.loads(storage.read_text(f"{stage}/counts.json"))
     if counts["accepted"]:
         _commit(spark, root, stage, stream_type, plan)
+    if publisher is not None:
+        done = spark.read.parquet(layout.range_path(f"{stage}/outcomes"))
+        nanos = F.when(F.col("kind") == "SUCCESS", time.perf_counter_ns() - began).otherwise(0)
+        entry = done.withColumns({"publisher": F.lit(publisher), "nanos": nanos.cast("long")})
+        oplog.write_entry(entry, oplog.publish_folder(root), tag)
     storage.write_text(f"{stage}/_COMMITTED", tag)
     return Published(tag, counts["accepted"], counts["rejected"], plan)
 
 
+def _observed(seen: Observation) -> dict[str, int] | None:
+    """What was counted, or None: a plan found empty while it runs loses its observation."""
+    try:
+        return {k: int(v) for k, v in seen.get.items()}
+    except Py4JJavaError:
+        return None
+
+
+def _count_outcomes(spark, stage, checked: DataFrame, topic: str, counts: dict[str, int]) -> None:
+    """Store ``topic, kind, n`` of a batch before its files leave the staging folder."""
+    none = spark.createDataFrame([], "topic string, n long")
+    count = F.count(F.lit(1)).alias("n")
+    accepted = oversized = none
+    if counts["accepted"]:
+        lines = spark.read.option("recursiveFileLookup", "true").text(layout.range_path(f"{stage}/lines"))
+        path = F.col("_metadata.file_path")
+        accepted = lines.groupBy(_path_value(path, "topic").alias("topic")).agg(count)
+    if counts["rejected"]:
+        refused = checked.filter(F.col("reason") == "EXCEEDED_MSG_SIZE")
+        oversized = refused.groupBy(F.col(topic).alias("topic")).agg(count)
+    oplog.outcomes(accepted, oversized).coalesce(1).write.mode("overwrite").parquet(f"{stage}/outcomes")
+
+
 def _to_open_minute(spark, root, stream_type, good, topic, when):
     if not storage.exists(f"{root}/{layout.BASE_DIRS[stream_type]}"):
         return good, when

@@ -7,8 +7,9 @@ from conftest import encoded, texts_of
 
 from minuteflow.consumer import Consumer
 from minuteflow.operators import checkpoint as cp
+from minuteflow.operators import metrics
 from minuteflow.operators.positions import mark_points, number_messages, with_positions
-from minuteflow.sources import collectors
+from minuteflow.sources import collectors, oplog
 from minuteflow.sources.minutes import read_minutes, read_sequence_values
 from minuteflow.streaming.minute_source import stream_minutes
 from minuteflow.streaming.stats import ReaderStats, observed
@@ -55,6 +56,23 @@ def test_mark_reset_and_crash(spark, filled, tmp_path):
     assert texts_of(again.read()) == ["new"]
 
 
+def test_consumption_is_logged(spark, filled, tmp_path):
+    log = str(tmp_path / "log")
+    assert oplog.consumed_log(spark, log).count() == 0
+    consumer = make(spark, filled, tmp_path, log=log)
+    consumer.read(6)
+    consumer.mark()
+    consumer.read()
+    consumer.reset()
+    consumer.read()
+    consumer.mark()
+    other = make(spark, filled, tmp_path, log=log)  # nothing left: a timeout
+    other.read()
+    other.mark()
+    stats = metrics.consumer_stats(oplog.consumed_log(spark, log)).collect()
+    assert [tuple(r) for r in stats] == [(filled.topic, "c1", 20, 3, 1, 1)]
+
+
 def test_gap_minutes_count_as_read(spark, filled, tmp_path):
     consumer = make(spark, filled, tmp_path)
     consumer.read()

@@ -5,8 +5,8 @@ from conftest import texts_of
 from pyspark.sql import functions as F
 
 import minuteflow.sources.publish as sink
-from minuteflow.operators import ranges
-from minuteflow.sources import layout
+from minuteflow.operators import metrics, ranges
+from minuteflow.sources import layout, oplog
 from minuteflow.sources.collectors import read_collectors
 from minuteflow.sources.listing import minute_dirs
 from minuteflow.sources.minutes import decode_messages, read_messages, read_minutes
@@ -201,3 +201,34 @@ def test_streams_of_one_name_each_add_their_rows(spark, tmp_path):
         (tmp_path / "one" / "commits" / name).unlink(missing_ok=True)
     assert run("one") == 5
     assert run("two") == 10
+
+
+def test_outcomes_are_logged_once_per_tag(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert oplog.published_log(spark, root).count() == 0
+    rows = [("a", "m", 0), ("a", "x" * 60, 0), ("b c", "m", 0), ("a", None, 0), (None, "m", 0), ("big", "y" * 70, 0)]
+    send = lambda tag, of=rows: sink.publish(
+        messages(spark, of), root, minute=F.col("minute"), max_size=50, tag=tag, publisher="p1"
+    )
+    commit = sink._commit
+
+    def fail(*args):
+        commit(*args)
+        raise OSError("lost after the files were moved")
+
+    monkeypatch.setattr(sink, "_commit", fail)
+    with pytest.raises(OSError):
+        send("one")
+    assert oplog.published_log(spark, root).count() == 0
+    monkeypatch.undo()
+    send("one")
+    send("one")
+    send("two", [("a", "m", 0)] * 3)
+    done = send("none", [("a", None, 0)])
+    assert (done.accepted, done.rejected) == (0, 1)
+    log = oplog.published_log(spark, root)
+    stats = {r.topic: (r.invocations, r.success, r.exceeded_size, r.in_flight) for r in metrics.publish_stats(log).collect()}
+    assert stats == {"a": (5, 4, 1, 1), "b c": (1, 1, 0, 0), "big": (1, 0, 1, 1)}
+    assert {r.publisher for r in log.collect()} == {"p1"}
+    total = metrics.publish_totals(log).filter("level = 3").first()
+    assert (total.invocations, total.success) == (7, 5) and total.cumulative_nanos > 0

@@ -182,5 +182,20 @@ def test_latency_counts_first_arrivals(spark):
 
 
 def test_latency_cuts_groups_before_the_shuffle(spark):
-    plan = validate.latency(arrivals(spark, ["1/t0/tA"]), 2)._jdf.queryExecution().toString()
+    often = arrivals(spark, ["1/t0/tA", "1/t1/tA", "1/t2/tA"])
+    plan = validate.latency(often, 2)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_latency_orders_only_numbers_that_came_too_often(spark):
+    rows = [(n, k * 7 % 50, 100 + k * k % 83) for n in range(1, 8) for k in range(n)] + [(None, 1, 9), (1, None, 9)]
+    parsed = spark.createDataFrame(rows, "seq long, sent_ms long, arrival_ms long")
+    for producers in (1, 3, 7, 9):
+        want = 0
+        for n in range(1, 8):
+            own = sorted((r[2], r[1]) for r in rows if r[0] == n and r[1] is not None)
+            want += sum(at - sent for at, sent in own[:producers])
+        assert validate.latency(parsed, producers).first()[0] == want
+    plan = validate.latency(parsed, 7)._jdf.queryExecution().toString()
+    assert "Window" not in plan and "delays" in plan  # sums per number suffice
+    assert validate.latency(parsed.limit(0), 1).first()[0] == 0
