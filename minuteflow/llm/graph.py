@@ -45,7 +45,7 @@ def components(links: DataFrame) -> DataFrame:
     is left is united across tasks by alternating stars: every node hands its
     smallest neighbour to its larger ones, then to its smaller ones, until no
     link changes. Only links of a node to a smaller one are kept, so a hub is a
-    key of plain counts and joins, never a group in one task.
+    key of plain counts and joins. A hub's links meet in one task of a join, one row each.
     """
     a, b = links.columns
     named = links.select(F.col(a).alias("node"), F.col(b).alias("root"))

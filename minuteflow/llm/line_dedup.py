@@ -140,7 +140,7 @@ def dedup_lines(
     spark = docs.sparkSession
     lines = kept(document_lines(docs, min_chars), "lines")
     frequent = frequent_lines(lines, min_docs, batches, fanout)
-    # Per row the frequent lines it has: a line of many rows is split by the skewed join.
+    # Per row the frequent lines it has. A line of many rows meets in one task of this join.
     marks = lines.join(frequent, "line").groupBy("row_key").agg(F.collect_set("line").alias("drop"))
     inner = docs.drop("n_lines", "n_dropped")
     packed = inner.select(
