@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from minuteflow.sources import storage
 
 SCHEMA = (
-    "topic string, cluster string, collector string, minute timestamp, file_name string,"
-    " value string"
+    "topic string, cluster string, collector string, minute timestamp, file_dir string,"
+    " file_name string, file_mtime timestamp, line_no long, value string"
 )
+_STAMP = pa.timestamp("us", "UTC")
 BATCH_SCHEMA = pa.schema(
     [
         ("topic", pa.string()),
         ("cluster", pa.string()),
         ("collector", pa.string()),
-        ("minute", pa.timestamp("us", "UTC")),
+        ("minute", _STAMP),
+        ("file_dir", pa.string()),
         ("file_name", pa.string()),
+        ("file_mtime", _STAMP),
+        ("line_no", pa.int64()),
         ("value", pa.string()),
     ]
 )
@@ -62,36 +67,71 @@ def file_lines(
         yield [rest]
 
 
+def count_lines(path: str, stop: int) -> int:
+    """Newlines in the first ``stop`` bytes of the uncompressed file."""
+    filesystem, inner = storage.open_fs(path)
+    packed = "gzip" if inner.endswith(".gz") else None
+    lines = 0
+    with filesystem.open_input_stream(inner, compression=packed) as source:
+        while stop > 0:
+            chunk = source.read(min(stop, _CHUNK))
+            if not chunk:
+                break
+            lines += chunk.count(b"\n")
+            stop -= len(chunk)
+    return lines
+
+
+def stamp_of(mtime_ns: int) -> datetime:
+    """A modification time in whole milliseconds, as Spark's readers give it."""
+    return datetime.fromtimestamp(mtime_ns // 1_000_000 / 1000, timezone.utc)
+
+
+def _texts(lines: list[bytes]) -> pa.Array:
+    raw = pa.array(lines, pa.binary())
+    try:
+        texts = raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
+    return pc.utf8_rtrim(texts, characters="\r")
+
+
 def line_batches(
     path: str,
-    topic: str,
-    cluster: str,
-    collector: str | None,
-    minute: datetime,
-    file_name: str,
+    position: dict[str, object],
     start: int = 0,
     stop: int | None = None,
     closed: bool = True,
+    before: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Batches of lines with their position columns."""
+    """Batches of lines with the columns of ``position``, and their numbers from 1 in the file.
+
+    ``before`` is the number of lines that lie before ``start``; without it the lines
+    have no numbers. The generator returns the number of lines up to its end.
+    """
     for lines in file_lines(path, start, stop, closed):
         n = len(lines)
-        values = [line.decode("utf-8", "replace").rstrip("\r") for line in lines]
+        if before is None:
+            numbers = pa.nulls(n, pa.int64())
+        else:
+            numbers = pa.array(range(before + 1, before + n + 1), pa.int64())
+            before += n
+        given = {"line_no": numbers, "value": _texts(lines)}
         columns = [
-            pa.array([topic] * n, pa.string()),
-            pa.array([cluster] * n, pa.string()),
-            pa.array([collector] * n, pa.string()),
-            pa.array([minute] * n, pa.timestamp("us")).cast(pa.timestamp("us", "UTC")),
-            pa.array([file_name] * n, pa.string()),
-            pa.array(values, pa.string()),
+            given[field.name]
+            if field.name in given
+            else pa.repeat(pa.scalar(position.get(field.name), field.type), n)
+            for field in BATCH_SCHEMA
         ]
         yield pa.RecordBatch.from_arrays(columns, schema=BATCH_SCHEMA)
+    return before
 
 
-def next_line_start(path: str, offset: int, stop: int) -> int:
-    """Offset of the first line that starts at or after ``offset``."""
+def next_line_start(path: str, offset: int, stop: int | None) -> int:
+    """Offset of the first line that starts at or after ``offset``, ``stop`` or the end at most."""
     filesystem, inner = storage.open_fs(path)
     with filesystem.open_input_file(inner) as source:
+        stop = source.size() if stop is None else stop
         source.seek(offset - 1)
         at = offset - 1
         while at < stop:

@@ -5,67 +5,76 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
-from minuteflow.functions import codec
+from minuteflow.functions import codec, filenames
 from minuteflow.operators.ranges import parse_group
 from minuteflow.sources import layout, storage
-from minuteflow.streaming.lines import SCHEMA, line_batches, next_line_start
+from minuteflow.streaming.lines import (
+    SCHEMA, count_lines, line_batches, next_line_start, stamp_of,
+)
 
 _ONE = timedelta(minutes=1)
 MAX_PARTITION_BYTES = 128 << 20
+MAX_TASKS = 256
+_HOURS_AT_ONCE = 64
 
 
 @dataclass
-class MinuteFiles(InputPartition):
-    """Files of one minute of one cluster, in stream order: a large one, or some small ones."""
+class MinuteRun(InputPartition):
+    """A run of minutes of one cluster, or one of several parts of a single minute."""
 
     cluster: str
-    minute: str
-    files: list[FileRange]
+    first: str
+    last: str
+    part: int = 0
+    parts: int = 1
 
 
 @dataclass
 class FileRange:
-    """Lines between two byte offsets of a file; no ``stop`` means its end."""
+    """Lines that start between two byte offsets of a file; the last range ends with it."""
 
+    folder: str
     name: str
     path: str
-    size: int
-    start: int = 0
-    stop: int | None = None
+    mtime_ns: int
+    start: int
+    stop: int
+    last: bool
 
 
-def _cut(file: FileRange) -> list[FileRange]:
-    """Cut a large uncompressed file at line starts."""
-    if file.path.endswith(".gz"):
+def _ranges(file: FileRange) -> list[FileRange]:
+    """A large uncompressed file in ranges of the partition size, found without opening it."""
+    if file.path.endswith(".gz") or file.stop <= MAX_PARTITION_BYTES:
         return [file]
-    parts, start = [], 0
-    while file.size - start > MAX_PARTITION_BYTES:
-        cut = next_line_start(file.path, start + MAX_PARTITION_BYTES, file.size)
-        parts.append(FileRange(file.name, file.path, cut - start, start, cut))
-        start = cut
-    return [*parts, FileRange(file.name, file.path, file.size - start, start)]
-
-
-def _pack(files: list[FileRange]) -> list[list[FileRange]]:
-    """Group neighbours up to the partition size."""
-    groups: list[list[FileRange]] = []
-    room = 0
-    for file in files:
-        if not groups or file.size > room:
-            groups.append([])
-            room = MAX_PARTITION_BYTES
-        groups[-1].append(file)
-        room -= file.size
-    return groups
+    starts = range(0, file.stop, MAX_PARTITION_BYTES)
+    return [
+        replace(file, start=s, stop=min(s + MAX_PARTITION_BYTES, file.stop), last=s == starts[-1])
+        for s in starts
+    ]
+
+
+def _share(ranges: list[FileRange], part: int, parts: int) -> list[FileRange]:
+    """The ranges whose middle byte lies in one of ``parts`` equal stretches of the minute.
+
+    Every task of a minute works this out from the same listing, so each range has one task.
+    """
+    total = sum(r.stop - r.start for r in ranges)
+    taken, at = [], 0
+    for r in ranges:
+        size = r.stop - r.start
+        if (2 * at + size) * parts // max(2 * total, 1) in (part, part + (part == parts - 1)):
+            taken.append(r)
+        at += size
+    return taken
 
 
 class MinuteReader(DataSourceStreamReader):
@@ -73,6 +82,9 @@ class MinuteReader(DataSourceStreamReader):
 
     A minute is complete once the next minute directory exists. A restart
     replays the last offset through ``partitions``, which brings the cursor back.
+    The driver lists hours, to see which minutes are there; the files of a minute
+    are listed, ordered and shared out in the tasks that read them, since nothing
+    is added to a complete minute.
     """
 
     def __init__(self, options: dict[str, str]) -> None:
@@ -82,6 +94,8 @@ class MinuteReader(DataSourceStreamReader):
         self.start = options.get("start")
         self.stop = options.get("stop")
         self.limit = int(options.get("maxminutesperbatch", 0))
+        self.tasks = int(options.get("tasks", 32))
+        self.numbered = options.get("linenumbers", "true").lower() == "true"
         self.group = parse_group(options["group"]) if options.get("group") else None
         self.cursor: dict[str, str] | None = None
 
@@ -109,12 +123,18 @@ class MinuteReader(DataSourceStreamReader):
         else:
             minute = layout.edge_minute(base)
         emitted, taken = done, 0
-        present: dict[str, set[str]] = {}
+        present: dict[datetime, set[str]] = {}
+        ahead = min(self.limit // 60 + 2, _HOURS_AT_ONCE) if self.limit else _HOURS_AT_ONCE
 
         def there(ts: datetime) -> bool:
-            hour = ts.strftime("%Y/%m/%d/%H")
+            hour = ts.replace(minute=0)
             if hour not in present:
-                present[hour] = set(storage.subdirs(f"{base}/{hour}"))
+                end = min(hour + (ahead - 1) * timedelta(hours=1), last.replace(minute=0))
+                n = (end - hour) // timedelta(hours=1) + 1
+                hours = [hour + i * timedelta(hours=1) for i in range(max(n, 1))]
+                paths = [f"{base}/{h:%Y/%m/%d/%H}" for h in hours]
+                with ThreadPoolExecutor(32) as pool:
+                    present.update(zip(hours, map(set, pool.map(storage.subdirs, paths))))
             return ts.strftime("%M") in present[hour]
 
         # Minutes before the first directory are skipped; from there on the
@@ -134,7 +154,7 @@ class MinuteReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.cursor = dict(end)
-        wanted = []
+        wanted: dict[str, list[datetime]] = {}
         for cluster, done in end.items():
             begun = start.get(cluster, "")
             if not done or done <= begun:
@@ -143,14 +163,25 @@ class MinuteReader(DataSourceStreamReader):
                 minute = layout.parse_minute_path(begun) + _ONE
             else:
                 minute = layout.edge_minute(self._base(cluster))
-            last = layout.parse_minute_path(done)
-            while minute <= last:
-                if self._owned(minute):
-                    wanted.append((cluster, layout.minute_path(minute)))
-                minute += _ONE
-        with ThreadPoolExecutor(32) as pool:
-            found = list(pool.map(lambda w: self._parts(*w), wanted))
-        return [part for parts in found for part in parts]
+            wanted[cluster] = self._minutes(minute, layout.parse_minute_path(done))
+        n = sum(map(len, wanted.values()))
+        run, parts = -(-n // self.tasks), self.tasks // max(n, 1)
+        return [
+            MinuteRun(
+                cluster,
+                layout.minute_path(minutes[i]),
+                layout.minute_path(minutes[i : i + run][-1]),
+                part,
+                max(parts, 1),
+            )
+            for cluster, minutes in wanted.items()
+            for i in range(0, len(minutes), run)
+            for part in range(max(parts, 1))
+        ]
+
+    def _minutes(self, minute: datetime, last: datetime) -> list[datetime]:
+        span = (last - minute) // _ONE + 1
+        return [m for m in (minute + i * _ONE for i in range(span)) if self._owned(m)]
 
     def _owned(self, minute: datetime) -> bool:
         if not self.group:
@@ -158,35 +189,61 @@ class MinuteReader(DataSourceStreamReader):
         number, total = self.group
         return minute.minute % total == number - 1
 
-    def _parts(self, cluster: str, minute: str) -> list[MinuteFiles]:
-        folder = f"{self._base(cluster)}/{minute}"
-        prefix = storage.open_fs(folder)[1]
+    def _files(self, cluster: str, minute: str) -> list[FileRange]:
+        """Files of a minute in stream order: directory, modification time, name."""
+        base = self._base(cluster)
+        prefix = storage.open_fs(base)[1]
         files = []
-        for entry in storage.children(folder, recursive=True):
+        for entry in storage.children(f"{base}/{minute}", recursive=True):
             inner = entry.path[len(prefix) :].strip("/")
-            if entry.type != fs.FileType.File or any(map(storage.hidden, inner.split("/"))):
+            below = inner[len(minute) :].strip("/").split("/")
+            if entry.type != fs.FileType.File or any(map(storage.hidden, below)):
                 continue
-            nested = inner.rpartition("/")[0]
-            file = FileRange(entry.base_name, f"{folder}/{inner}", entry.size)
-            files.append(((nested, entry.mtime_ns, entry.base_name), file))
-        ordered = [file for _, file in sorted(files, key=lambda f: f[0])]
-        ranges = [part for file in ordered for part in _cut(file)]
-        return [MinuteFiles(cluster, minute, group) for group in _pack(ranges)]
-
-    def read(self, partition: MinuteFiles) -> Iterator[pa.RecordBatch]:
-        minute = layout.parse_minute_path(partition.minute)
-        for file in partition.files:
-            yield from line_batches(
-                file.path, self.topic, partition.cluster, None, minute, file.name,
-                file.start, file.stop,
-            )
+            folder, path = inner.rpartition("/")[0], f"{base}/{inner}"
+            file = FileRange(folder, entry.base_name, path, entry.mtime_ns, 0, entry.size, True)
+            files.append(((folder, stamp_of(entry.mtime_ns), entry.base_name), file))
+        return [file for _, file in sorted(files, key=lambda f: f[0])]
+
+    def read(self, partition: MinuteRun) -> Iterator[pa.RecordBatch]:
+        first, last = map(layout.parse_minute_path, (partition.first, partition.last))
+        for minute in self._minutes(first, last):
+            files = self._files(partition.cluster, layout.minute_path(minute))
+            ranges = [r for file in files for r in _ranges(file)]
+            if partition.parts > 1:
+                ranges = _share(ranges, partition.part, partition.parts)
+            yield from self._lines(ranges, partition.cluster, minute)
+
+    def _lines(
+        self, ranges: list[FileRange], cluster: str, minute: datetime
+    ) -> Iterator[pa.RecordBatch]:
+        end, lines = None, None
+        for r in ranges:
+            whole = r.start == 0 and r.last
+            begin = next_line_start(r.path, r.start, None) if r.start else 0
+            stop = None if r.last else next_line_start(r.path, r.stop, None)
+            # Lines before a range are counted, unless this task has just read them.
+            if end != (r.path, begin):
+                lines = count_lines(r.path, begin) if self.numbered and not whole else 0
+            position = {
+                "topic": self.topic,
+                "cluster": cluster,
+                "minute": minute.replace(tzinfo=timezone.utc),
+                "file_dir": r.folder,
+                "file_name": r.name,
+                "file_mtime": stamp_of(r.mtime_ns),
+            }
+            before = lines if self.numbered else None
+            lines = yield from line_batches(r.path, position, begin, stop, before=before)
+            end = (r.path, stop)
 
 
 class MinuteSource(DataSource):
     """``spark.readStream.format("minutes")``.
 
     Options: ``topic``, ``roots`` (JSON object cluster -> root), ``streamType``,
-    ``start``, ``stop`` (ISO times), ``group`` (k/n), ``maxMinutesPerBatch``.
+    ``start``, ``stop`` (ISO times), ``group`` (k/n), ``maxMinutesPerBatch``, ``tasks``
+    (tasks of a batch, about), ``lineNumbers`` (default true; the numbers of a file
+    longer than 128 MB cost another look at what lies before each part of it).
     """
 
     @classmethod
@@ -219,15 +276,39 @@ def drain_minutes(start: Callable[[], StreamingQuery]) -> int:
 
 
 def stream_minutes(
-    spark: SparkSession, roots: layout.Roots, topic: str, stream_type: str = "local", **options
+    spark: SparkSession,
+    roots: layout.Roots,
+    topic: str,
+    stream_type: str = "local",
+    fmt: str = "base64",
+    **options,
 ) -> DataFrame:
-    """Stream the messages of a topic, one complete minute after the other."""
+    """Stream the messages of a topic, one complete minute after the other.
+
+    Rows carry the positions a batch read has, ``line_no`` too, so a checkpoint can be
+    built from them. ``fmt`` is ``base64`` for messages or ``text`` for plain lines,
+    which come as ``value``.
+    """
+    if fmt not in ("base64", "text"):
+        raise ValueError(f"unknown record format {fmt}")
     spark.dataSource.register(MinuteSource)
     named = {
         cluster: storage.qualify(spark, root)
         for cluster, root in layout.named_roots(roots, stream_type).items()
     }
+    # More tasks than that would only list the same minute over and over.
+    options.setdefault("tasks", min(spark.sparkContext.defaultParallelism, MAX_TASKS))
     reader = spark.readStream.format("minutes").options(
         topic=topic, streamType=stream_type, roots=json.dumps(named), **options
     )
-    return codec.strip_header(codec.decode_lines(reader.load()).drop("value"))
+    rows, name = reader.load().withColumn("stream_type", F.lit(stream_type)), F.col("file_name")
+    if stream_type == "generic":
+        named_by = {"file_minute": F.lit(None).cast("timestamp"), "file_id": F.lit(None).cast("int")}
+    else:
+        named_by = {
+            "collector": filenames.collector_of(name, topic),
+            "file_minute": filenames.file_minute_of(name),
+            "file_id": filenames.file_id_of(name),
+        }
+    rows = rows.withColumns(named_by)
+    return rows if fmt == "text" else codec.strip_header(codec.decode_lines(rows).drop("value"))
