@@ -14,6 +14,7 @@ from minuteflow.session import work_dir
 from minuteflow.sources import oplog
 from minuteflow.sources import publish as sink
 from minuteflow.sources.minutes import read_messages
+from minuteflow.streaming.audit_flush import close_audit, stop_when_idle, timed_audit_stream
 from minuteflow.streaming.sinks import audit_stream, publish_stream, read_packets, windowed_counts
 
 TOPICS = ["click", "error", "purchase", "signup", "view"]
@@ -218,6 +219,30 @@ def a7_audit_stream(spark, sf_dir):
     return audit.packet_counts(packets)
 
 
+@query(
+    "a7_timed_flush",
+    f"""SELECT topic, ts_ms - ts_ms % 60000 AS window_ms, count(*) AS received
+        FROM {MESSAGES_SQL} GROUP BY ALL""",
+)
+def a7_timed_flush(spark, sf_dir):
+    """Packets by time of a stream that is stopped, closed, gone on with and closed again."""
+    root, checkpoint = work_dir(spark, "timed"), work_dir(spark, "timed_checkpoint")
+    whole = spark.read.parquet(f"{sf_dir}/events.parquet")
+    source = work_dir(spark, "timed_source")
+    early = F.col("event_id") % 2 == 0
+    for part in (whole.filter(early), whole.filter(~early)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source).select(
+            F.col("event_type").alias("topic"),
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        )
+        writer = timed_audit_stream(stream, root, "timed", checkpoint, "publisher", "host0")
+        stop_when_idle(writer.trigger(processingTime="1 second").start())
+        close_audit(spark, root, "timed", checkpoint, "publisher", "host0")
+    packets = read_packets(read_messages(spark, root, audit.AUDIT_TOPIC))
+    return audit.packet_counts(packets)
+
+
 @query(
     "a7_windowed_stream",
     f"""SELECT topic, ts_ms - ts_ms % 86400000 AS window_ms, count(*) AS received

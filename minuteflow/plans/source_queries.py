@@ -234,6 +234,39 @@ def s10_stream_collector_tail(spark, sf_dir):
     return tables.message_fields(rows).select("event_id", "cluster", "collector")
 
 
+@query(
+    "s9_stream_positions",
+    f"""SELECT cluster, collector, strftime(block, '%Y-%m-%d %H:%M') AS file_minute,
+               count(*) AS n_lines, count(*) AS last_line
+        FROM {MESSAGES_SQL} GROUP BY ALL""",
+)
+def s9_stream_positions(spark, sf_dir):
+    """Lines and the last line number per file minute, from streamed rows."""
+    stream = stream_minutes(spark, tables.local_roots(spark, sf_dir), tables.TOPIC)
+    rows = spark.read.parquet(_run(stream, spark, "positions"))
+    files = rows.groupBy("cluster", "collector", "file_minute", "file_dir", "file_name").agg(
+        F.count("*").alias("n"), F.max("line_no").alias("last")
+    )
+    return files.groupBy(
+        "cluster", "collector", F.date_format("file_minute", MINUTE).alias("file_minute")
+    ).agg(F.sum("n").alias("n_lines"), F.sum("last").alias("last_line"))
+
+
+@query(
+    "s10_stream_until",
+    f"""SELECT event_id, cluster, collector FROM {MESSAGES_SQL}
+        WHERE block <= (SELECT max(block) - INTERVAL 2 MINUTE FROM {MESSAGES_SQL})""",
+)
+def s10_stream_until(spark, sf_dir):
+    """Tail collector files up to a stop time, two minutes before the last file."""
+    roots = tables.collector_roots(spark, sf_dir)
+    blocks = tables.events(spark, sf_dir).select(tables.block_minute(F.col("ts")).alias("block"))
+    last = blocks.agg(F.max("block") - F.expr("interval 2 minutes")).first()[0]
+    stream = stream_collectors(spark, roots, tables.TOPIC, stop=last.isoformat())
+    rows = spark.read.parquet(_run(stream, spark, "until"))
+    return tables.message_fields(rows).select("event_id", "cluster", "collector")
+
+
 @query("s11_collector_discovery", f"SELECT event_id, collector FROM {MESSAGES_SQL}")
 def s11_collector_discovery(spark, sf_dir):
     """Two collectors first, two more after the stream has run: the next run finds them."""

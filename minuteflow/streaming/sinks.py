@@ -52,11 +52,7 @@ def audit_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = audit.audit_counts(batch, window_sec, ts_ms=ts_ms)
-        packets = audit.audit_packets(counts, tier, hostname, _now_ms(), window_sec)
-        lines = packets.select(
-            F.lit(audit.AUDIT_TOPIC).alias("topic"),
-            F.to_json(F.struct("*")).cast("binary").alias("payload"),
-        )
+        lines = packet_lines(counts, tier, hostname, window_sec)
         done = publish(lines, root, tag=_tag(batch, query, batch_id), **kwargs)
         if done.rejected:
             raise ValueError(f"{done.rejected} audit packets are larger than a message may be")
@@ -64,6 +60,17 @@ def audit_stream(
     return df.writeStream.queryName(query).foreachBatch(write)
 
 
+def packet_lines(
+    counts: DataFrame, tier: str, hostname: str, window_sec: int = audit.DEFAULT_WINDOW_SEC
+) -> DataFrame:
+    """Counts per topic and window as messages of the audit topic."""
+    packets = audit.audit_packets(counts, tier, hostname, _now_ms(), window_sec)
+    return packets.select(
+        F.lit(audit.AUDIT_TOPIC).alias("topic"),
+        F.to_json(F.struct("*")).cast("binary").alias("payload"),
+    )
+
+
 def _now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
