@@ -51,6 +51,8 @@ class Consumer:
     ``log`` is a folder for counts of what the consumer did (see :func:`oplog.consumed_log`): messages
     are counted when they are marked, resets when they are asked for, and a marked read without
     messages is a timeout.
+
+    ``fmt`` is ``base64`` for messages, or ``text`` for plain lines, which come as ``value``.
     """
 
     spark: SparkSession
@@ -67,6 +69,7 @@ class Consumer:
     stop: datetime | None = None
     now: datetime | None = None
     log: str | None = None
+    fmt: str = "base64"
     _checkpoint: DataFrame | None = field(default=None, init=False)
     _taken: DataFrame | None = field(default=None, init=False)
     _since: datetime | None = field(default=None, init=False)
@@ -77,6 +80,8 @@ class Consumer:
     def __post_init__(self) -> None:
         layout.named_roots(self.roots, self._directory_type)
         ranges.parse_group(self.group)
+        if self.fmt not in ("base64", "text"):
+            raise ValueError(f"unknown record format {self.fmt}")
         self._load()
 
     @property
@@ -226,7 +231,7 @@ class Consumer:
         if max_messages is not None or self.stop is not None:
             self._seen = {}  # something older may be left
         self._taken = lines
-        return decode_messages(lines)
+        return lines if self.fmt == "text" else decode_messages(lines)
 
     def _first(self, plan: _Plan, max_messages: int) -> DataFrame:
         ahead = ranges.time_range(plan.minutes, self._since, self.stop)

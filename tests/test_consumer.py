@@ -369,3 +369,25 @@ def test_streaming_reader_stats(spark, filled, tmp_path):
         spark.streams.removeListener(stats)
     assert stats.counts == {"read:cluster0": 21, "errors:cluster0": 1}
     assert stats.last_minute == "2024-03-01 11:03"
+
+
+def test_plain_lines(spark, stream, tmp_path):
+    """Text that is no Base64 is read as it is, marked and gone on with."""
+    for i in range(3):
+        text = f"plain {i}\nnot = base64 {i}\n\n"
+        (stream.minute_dir(T0 + i * ONE) / "f").write_text(text)
+
+    def member(fmt="text"):
+        return Consumer(
+            spark, stream.topic, "plain", str(stream.root), str(tmp_path / "marks"),
+            start_of_stream=True, fmt=fmt,
+        )
+
+    first = member()
+    taken = [r.value for r in first.read(max_messages=2).collect()]
+    first.mark()
+    assert sorted(taken) == ["not = base64 0", "plain 0"]
+    rest = [r.value for r in member().read().collect()]
+    assert sorted(rest) == ["", "", "not = base64 1", "plain 1"]
+    with pytest.raises(ValueError):
+        member("avro")
