@@ -6,9 +6,10 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from minuteflow.llm import quality
-from minuteflow.llm.common import table
+from minuteflow.llm.common import let, table, words
 
 from .test_llm_queries import WORD, buckets
 
@@ -74,3 +75,62 @@ def test_clean_documents_stay(spark):
     assert len(hidden) > 40 and sum(hidden) >= 0.95 * len(hidden)
     assert len(junk) > 20 and sum(junk) <= 0.1 * len(junk)
     assert all(kept[d] for d in (20, 23, 33))  # plain German and French, without labels
+
+
+def test_all_trusted_documents_count(spark):
+    n = 100_200
+    frame = spark.range(n).selectExpr("id AS doc_id", "'a' AS text")
+    row = quality.bucket_weights(frame, frame).select("all_target").first()
+    assert row.all_target == n
+
+
+def test_all_trusted_documents_set_the_threshold(spark, monkeypatch):
+    # More trusted documents than any bound there was, of 7 texts of 60 words.
+    n, kinds = 20_400, 7
+    frame = spark.range(n).selectExpr(
+        "id AS doc_id",
+        f"array_join(transform(sequence(1, 60), i -> concat('w', i * (1 + id % {kinds}))), ' ') AS text",
+    )
+    own = [Counter(buckets([f"w{i * (1 + k)}" for i in range(1, 61)])) for k in range(kinds)]
+    times = [len(range(k, n, kinds)) for k in range(kinds)]
+    raw = Counter()
+    for grams, m in zip(own, times):
+        raw.update({b: m * c for b, c in grams.items()})
+    share = lambda c, total: (c + 1.0) / (total + quality.BUCKETS)
+    scores = []
+    for grams in own:
+        rest = raw.total() - grams.total()
+        score = sum(
+            c * math.log(share(raw[b] - c, rest) / share(raw[b], raw.total())) for b, c in grams.items()
+        )
+        scores.append(score / grams.total())
+    held = np.repeat(scores, times)
+    want = np.quantile(held, 0.01) - quality.QUANTILE_ERROR * np.std(held) / math.sqrt(n)
+    weights = quality.bucket_weights(frame, frame)
+    threshold = lambda: quality.held_out_threshold(frame, frame, weights, quality.BUCKETS)
+    assert math.isclose(threshold(), want, rel_tol=1e-9)
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 3)  # the ids are joined by a shuffle
+    assert math.isclose(threshold(), want, rel_tol=1e-9)
+
+
+def test_quantile_is_exact(spark):
+    for n, part in ((1, 0.01), (2, 0.5), (150_000, 0.01)):
+        values = np.floor(np.random.default_rng(n).normal(size=n) * 1000) / 1000
+        scores = spark.createDataFrame([(float(v),) for v in values], "score double")
+        assert math.isclose(quality._quantile(scores, n, part), np.quantile(values, part), rel_tol=1e-9)
+
+
+def test_repeated_words_by_parts_of_hashes(spark, monkeypatch):
+    texts = ["a b c d a b c", "a a a a", "x y z " * 9, " ".join(f"w{i % 23}" for i in range(60)), "a b"]
+    want = []
+    for w in map(str.split, texts):
+        found = Counter(zip(w, w[1:], w[2:]))
+        want.append(
+            len({i + k for i in range(len(w) - 2) if found[tuple(w[i : i + 3])] > 1 for k in range(3)})
+        )
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bits in (2, 5, quality.POSITION_BITS):
+        monkeypatch.setattr(quality, "POSITION_BITS", bits)
+        n_repeat = let(words(F.col("text")), lambda w: quality._repeat_words(w)).alias("n")
+        rows = frame.select("doc_id", n_repeat).collect()
+        assert [r.n for r in sorted(rows)] == want
