@@ -5,6 +5,8 @@ Native: everything on the path is DataFrame expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from minuteflow.llm.common import kept, let, words
@@ -127,12 +129,12 @@ def base_failed(counts: Column, min_words: int = MIN_WORDS) -> Column:
     )
 
 
-def _grams(w: Column) -> Column:
-    """Hashes of the words and of the pairs of neighbouring words."""
+def _grams(w: Column, of: Callable[[Column], Column] = lambda h: h) -> Column:
+    """``of`` the hashes of the words and of the pairs of neighbouring words."""
     return F.concat(
-        F.transform(w, lambda x: F.xxhash64(x)),
+        F.transform(w, lambda x: of(F.xxhash64(x))),
         F.slice(
-            F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))),
+            F.transform(w, lambda x, i: of(F.xxhash64(x, F.get(w, i + 1)))),
             1,
             F.greatest(F.size(w) - 1, F.lit(0)),
         ),
@@ -140,7 +142,7 @@ def _grams(w: Column) -> Column:
 
 
 def _buckets(w: Column, buckets: int) -> Column:
-    return F.transform(_grams(w), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    return _grams(w, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
 def bucket_count(docs: DataFrame, least: int = BUCKETS) -> int:
