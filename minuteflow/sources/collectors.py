@@ -104,10 +104,10 @@ def _range_lines(row: dict, stop: int) -> Iterator[list[bytes]]:
             raise
         # Committed since the files were listed: same bytes, other place.
         moved = committed_files(row["root"], row["topic"], row["file_minute"].replace(tzinfo=None))
-        path = moved.get(row["collector"], {}).get(row["file_name"])
-        if path is None:
+        place = moved.get(row["collector"], {}).get(row["file_name"])
+        if place is None:
             raise
-        yield from _lines_of_copy(path, row["begin"], stop, row["end"])
+        yield from _lines_of_copy(place[0], row["begin"], stop, row["end"])
 
 
 def _scan(files: DataFrame) -> DataFrame:

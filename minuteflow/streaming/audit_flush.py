@@ -126,15 +126,19 @@ def timed_audit_stream(
 
 
 def stop_when_idle(query: StreamingQuery, poll_sec: float = 0.5) -> None:
-    """Stop a query after the first batch without new rows.
+    """Stop a query after the first batch without new rows, other than one an earlier run had begun.
 
     Timers need batches without rows too, so neither ``availableNow`` nor
     ``processAllAvailable`` ever ends on a stream that has them.
     """
+    first = None
     while query.isActive:
         progress = query.lastProgress
-        if progress and progress["numInputRows"] == 0:
-            break
+        if progress:
+            # The first batch may be one that was stopped, so it may lack rows that wait by now.
+            first = query.recentProgress[0]["batchId"] if first is None else first
+            if progress["numInputRows"] == 0 and progress["batchId"] > first:
+                break
         time.sleep(poll_sec)
     if query.exception() is not None:
         raise query.exception()
@@ -209,10 +213,12 @@ def _numbers(folder: str) -> list[int]:
 
 
 def _keep_period(checkpoint: str, flush_sec: int) -> None:
-    """Refuse another period while a batch waits to run again: it has to flush what it did."""
+    """Refuse another period while a batch that has flushed waits to run again: it has to flush the same."""
     path = f"{checkpoint}/audit_flush_sec"
-    pending = _numbers(f"{checkpoint}/offsets")[-1:] > _numbers(f"{checkpoint}/commits")[-1:]
-    if pending and storage.exists(path) and int(storage.read_text(path)) != flush_sec:
+    begun = _numbers(f"{checkpoint}/offsets")[-1:]
+    pending = begun > _numbers(f"{checkpoint}/commits")[-1:]
+    flushed = pending and begun[0] in _done(checkpoint, "audit_flushed")
+    if flushed and storage.exists(path) and int(storage.read_text(path)) != flush_sec:
         raise ValueError(f"a batch is pending; start with {storage.read_text(path)} seconds first")
     storage.write_text(path, str(flush_sec))
 

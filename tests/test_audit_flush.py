@@ -1,4 +1,5 @@
 import time
+from pathlib import Path
 
 import pytest
 
@@ -140,6 +141,20 @@ def test_stopped_after_a_flush(flow, monkeypatch):
     assert flow.totals() == flow.wanted()
 
 
+def test_another_period_after_an_idle_batch(flow):
+    """A batch that was stopped before it flushed anything may run again with another period."""
+    flow.add(rows_of(20))
+    flow.run()
+    commits = Path(flow.checkpoint, "commits")
+    last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (commits / name).unlink(missing_ok=True)
+    flow.add(rows_of(5))
+    flow.run(flush_sec=0)
+    flow.close()
+    assert flow.totals() == flow.wanted()
+
+
 def test_closing_before_any_batch(flow):
     flow.close()
     flow.add(rows_of(1))
