@@ -5,6 +5,7 @@ Native: everything on the path is DataFrame expressions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,6 +16,8 @@ from minuteflow.session import broadcast_if_small
 # The fewest buckets; more n-grams of trusted documents than LOAD for each of them get more buckets.
 BUCKETS = 1 << 14
 LOAD = 64
+# Standard error of the sketch that counts n-grams, as a part of their number.
+SKETCH_ERROR = 0.02
 CHUNK = 1 << 12
 SMOOTHING = 1.0
 # Up to so many trusted ids are broadcast, about 64 MB; more are joined by a shuffle.
@@ -146,15 +149,18 @@ def _buckets(w: Column, buckets: int) -> Column:
 
 
 def bucket_count(docs: DataFrame, least: int = BUCKETS) -> int:
-    """A power of two, ``least`` or more, with at most about ``LOAD`` distinct n-grams a bucket.
+    """The least power of two, ``least`` or more, with at most ``LOAD`` distinct n-grams for each bucket.
 
-    Counted is one n-gram in ``LOAD``, by its hash: as many as buckets are needed. They are counted
-    by a sketch: a few per cent off, and the same however the rows are dealt.
+    All n-grams are counted, by their 64-bit hashes. A sketch over all of them tells the power of two
+    where it is four standard errors or more away from the next; else they are counted one by one.
     """
-    some = lambda w: F.filter(_grams(w), lambda h: F.pmod(F.shiftright(h, 40), F.lit(LOAD)) == 0)
-    sample = docs.select(F.explode(let(words(F.col("text")), some)).alias("h"))
-    needed = sample.agg(F.approx_count_distinct("h")).first()[0]
-    return max(least, 1 << max(0, needed - 1).bit_length())
+    grams = docs.select(F.explode(let(words(F.col("text")), lambda w: _grams(w))).alias("h"))
+    fitting = lambda n: max(least, 1 << max(0, math.ceil(n / LOAD) - 1).bit_length())
+    about = grams.agg(F.approx_count_distinct("h", SKETCH_ERROR)).first()[0]
+    low, high = (fitting(about * (1 + m * SKETCH_ERROR)) for m in (-4, 4))
+    if low == high:
+        return low
+    return fitting(kept(grams.distinct().agg(F.count("*").alias("n")), "grams").first()[0])
 
 
 def _ids(trusted: DataFrame, most: int | None = None) -> DataFrame:
@@ -365,7 +371,7 @@ def judged(
         buckets = bucket_count(own)
     table = kept(bucket_weights(docs, trusted, buckets), "weights")
     if threshold is None:
-        threshold = held_out_threshold(docs, trusted, table, buckets)
+        threshold = held_out_threshold(docs, trusted, table, buckets, max_calibrated=None)
     weights = "weights of all buckets"
     text = F.col("text")
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from minuteflow.llm import quality
 from minuteflow.llm.common import let, table, words
 
@@ -29,6 +30,35 @@ def test_buckets_follow_the_corpus(spark, documents):
     assert scores(threshold=0.0) != scores(buckets=2 * quality.BUCKETS)
 
 
+def test_buckets_are_told_by_all_n_grams(spark):
+    # Texts of one word, each twice: as many n-grams as words.
+    for n in (64, 256, 4096, 65_536):
+        for more in (0, 1):
+            frame = spark.range(2 * (n + more)).selectExpr(
+                "id AS doc_id", f"concat('w', id % {n + more}) AS text"
+            )
+            assert quality.bucket_count(frame, least=1) == n // quality.LOAD * (1 + more)
+    assert quality.bucket_count(frame.limit(0), least=1) == 1
+
+
+def test_no_bound_reaches_the_pipeline(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [
+        (d, " ".join(f"w{x}" for x in rng.integers(40 if d % 9 else 4000, size=60))) for d in range(90)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    asked = []
+    ids = quality._ids
+    monkeypatch.setattr(quality, "_ids", lambda trusted, most=None: asked.append(most) or ids(trusted, most))
+    kept = lambda: sorted(r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect())
+    want = kept()
+    first, lost, _ = quality.held_out_threshold.__defaults__
+    monkeypatch.setattr(quality.held_out_threshold, "__defaults__", (first, lost, 5))
+    assert kept() == want and want
+    assert asked == [None] * 6
+
+
 def test_threshold_is_held_out(spark, sf_dir, documents, texts):
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
     chosen = {r.doc_id for r in trusted.collect()}
