@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text as an array; null has none."""
-    return let(
-        F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)),
-        lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(
-            F.split(t, WORD_GAP)
-        ),
+    """The words of a text as an array; null has none.
+
+    Splitting at one character needs no regular expression, so texts whose only white space is blanks
+    and line ends are split so.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    rare = [F.contains(whole, F.lit(c)) for c in SPACES if c not in " \n"]
+    parts = F.when(reduce(Column.__or__, rare), F.split(whole, WORD_GAP)).otherwise(
+        F.split(F.replace(whole, F.lit("\n"), F.lit(" ")), " ")
     )
+    return F.array_remove(parts, "")
+
+
+def bound(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with the columns ``values``, each computed once per row, in generated code.
+
+    Unlike a plain projection it is no place through which Spark moves a filter, so ``values`` that a
+    filter or a lambda uses often are not computed again for each use. They must not hold lambdas.
+    """
+    row = F.struct(*(value.alias(name) for name, value in values.items()))
+    return df.select("*", F.inline(F.array(row)))
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
