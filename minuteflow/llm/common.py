@@ -43,16 +43,6 @@ def words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
-def bound(df: DataFrame, **values: Column) -> DataFrame:
-    """``df`` with the columns ``values``, each computed once per row, in generated code.
-
-    Unlike a plain projection it is no place through which Spark moves a filter, so ``values`` that a
-    filter or a lambda uses often are not computed again for each use. They must not hold lambdas.
-    """
-    row = F.struct(*(value.alias(name) for name, value in values.items()))
-    return df.select("*", F.inline(F.array(row)))
-
-
 def text_bytes(column: pa.Array) -> list[bytes]:
     """Texts of a batch as UTF-8 bytes; null is empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
