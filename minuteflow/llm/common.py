@@ -16,6 +16,8 @@ from minuteflow.session import stored
 # The white space between words; bytes.split() without arguments knows the same six characters.
 SPACES = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
+# Rows whose texts a Python worker has as objects of its own at a time.
+ROWS_AT_ONCE = 500
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -48,6 +50,21 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so copies of all their texts never meet.
+
+    In the end the memory Arrow has spare is handed back: workers live on beside later steps.
+    """
+    try:
+        for batch in batches:
+            for a in range(0, batch.num_rows, rows):
+                yield batch.slice(a, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(29))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -75,6 +92,16 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], kinds: str) -> DataFrame:
+    """A few rows of the driver's. They go as Arrow, so no executor starts Python workers for them."""
+    schema = T.StructType.fromDDL(kinds)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    fields = arrow_schema(schema)
+    arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
@@ -129,7 +156,7 @@ def running_sums(df: DataFrame, order: list[str], sums: list[str], name: str) ->
     names = [f"{s}_offset" for s in sums]
     kinds = ", ".join(f"{c} long" for c in ["offset_pid", *names])
     # One row per task, so the broadcast is bounded by the number of partitions.
-    offset = F.broadcast(spark.createDataFrame(offsets, kinds))
+    offset = F.broadcast(small_table(spark, offsets, kinds))
     joined = rows.join(offset, rows.pid == offset.offset_pid)
     return joined.select(
         *(rows[c] for c in df.columns),

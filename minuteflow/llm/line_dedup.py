@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from minuteflow.llm.common import SPACES, arrow_schema, kept, text_bytes
+from minuteflow.llm.common import SPACES, arrow_schema, kept, slices, text_bytes
 MIN_CHARS = 1
 MIN_DOCS = 10
 BATCHES = 4
@@ -92,7 +92,7 @@ def document_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     schema = arrow_schema(_LINES)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, lines, counts = batch.column(0), [], []
             for text in text_bytes(batch.column(1)):
                 own = {k for k in line_keys(text) if k and _n_chars(k) >= min_chars}
@@ -157,7 +157,7 @@ def dedup_lines(
     names = [f.name for f in schema.fields]
 
     def cut(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_:
+        for batch in slices(batches_):
             texts, n_lines, n_dropped = [], [], []
             drops = batch.column(3).to_pylist()
             for text, drop in zip(text_bytes(batch.column(1)), drops, strict=True):

@@ -15,7 +15,7 @@ import heapq
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from minuteflow.llm.common import kept, running_sums
+from minuteflow.llm.common import kept, running_sums, small_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -167,7 +167,7 @@ def mixed(
         "s string, source_size long, target double,"
         " ranges array<struct<shard:int,first:long,end:long>>, base long"
     )
-    lookup = F.broadcast(docs.sparkSession.createDataFrame(table, kinds))
+    lookup = F.broadcast(small_table(docs.sparkSession, table, kinds))
     joined = placed.join(lookup, F.col("source").eqNullSafe(F.col("s")))
     start = F.col("size_before") - F.col("base")
     end = start + F.col("size")
@@ -217,7 +217,7 @@ def whole_copies(docs: DataFrame, **options) -> DataFrame:
     ends = [r for r in ends.collect() if r.last is not None]
     kinds = "s string, at long, missing long"
     table = [(r.source, r.last.start, r.last.part) for r in ends]
-    lookup = F.broadcast(docs.sparkSession.createDataFrame(table, kinds))
+    lookup = F.broadcast(small_table(docs.sparkSession, table, kinds))
     open_ = rows.join(lookup, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     open_ = open_.where("size <= missing").withColumn("wrapped", F.col("start") < F.col("at"))
     order = ["source", "wrapped", "start"]
@@ -227,7 +227,7 @@ def whole_copies(docs: DataFrame, **options) -> DataFrame:
         for r in after.groupBy("source").agg(F.min("size_before").alias("base")).collect()
     }
     table = [(r.source, bases.get(r.source)) for r in ends]
-    bases = F.broadcast(docs.sparkSession.createDataFrame(table, "b string, base long"))
+    bases = F.broadcast(small_table(docs.sparkSession, table, "b string, base long"))
     after = after.join(bases, F.col("source").eqNullSafe(F.col("b")))
     before = F.col("size_before") - F.col("base")
     over = before + F.col("size") - F.col("missing")
@@ -241,7 +241,7 @@ def whole_copies(docs: DataFrame, **options) -> DataFrame:
             instead.append((r.source, r.last.start))
         elif not r.words and r.source not in filled:
             instead.append((r.source, r.least.start))
-    instead = F.broadcast(docs.sparkSession.createDataFrame(instead, "o string, o_start long"))
+    instead = F.broadcast(small_table(docs.sparkSession, instead, "o string, o_start long"))
     more = more.select(F.col("source").alias("m"), F.col("start").alias("m_start"))
     more = more.join(instead.select("o").distinct(), F.col("m").eqNullSafe(F.col("o")), "left_anti")
     more = more.unionByName(instead.toDF("m", "m_start"))

@@ -33,6 +33,7 @@ from minuteflow.llm.common import (
     arrow_schema,
     kept,
     mixed,
+    slices,
     text_bytes,
     window_hashes,
     word_hashes,
@@ -122,28 +123,26 @@ def signed(
     schema = arrow_schema(_SIGNED)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, _SETS_AT_ONCE):
-                batch = whole.slice(a, _SETS_AT_ONCE)
-                sets = [shingles(t, length) for t in text_bytes(batch.column(2))]
-                signatures = super_minhash(sets, bands * rows)
-                keys = band_keys(signatures, bands, rows).view(np.int64)
-                nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                listed = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(sets) + 1) * bands, pa.int32()),
-                    pa.array(keys.reshape(-1)),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        batch.column(1),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(nodes, pa.binary()),
-                        listed.cast(schema.field("bands").type),
-                        pa.array([parity_sketch(s) for s in sets], pa.binary()),
-                    ],
-                    schema=schema,
-                )
+        for batch in slices(batches, _SETS_AT_ONCE):
+            sets = [shingles(t, length) for t in text_bytes(batch.column(2))]
+            signatures = super_minhash(sets, bands * rows)
+            keys = band_keys(signatures, bands, rows).view(np.int64)
+            nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            listed = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(sets) + 1) * bands, pa.int32()),
+                pa.array(keys.reshape(-1)),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(nodes, pa.binary()),
+                    listed.cast(schema.field("bands").type),
+                    pa.array([parity_sketch(s) for s in sets], pa.binary()),
+                ],
+                schema=schema,
+            )
 
     return _with_row_key(docs).mapInArrow(sign, _SIGNED)
 
@@ -173,7 +172,7 @@ def confirmed(
     together = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lefts, rights = text_bytes(batch.column(2)), text_bytes(batch.column(3))
             known: dict[bytes, np.ndarray] = {}
 

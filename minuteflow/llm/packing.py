@@ -307,18 +307,21 @@ def token_pieces(
         encode = WordTokens.of(tokenizer or _installed(TOKENIZER), ranks or _installed(RANKS))
         end = np.array([END_ID], "<u4").tobytes()
         pid, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            rows = []
-            doc_ids = batch.column(0).to_pylist()
-            for doc_id, tokens in zip(doc_ids, encode.encoded(batch.column(1)), strict=True):
-                ids = tokens.tobytes() + end
-                for k, (start, length) in enumerate(cut_points(len(ids) // 4, capacity)):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((doc_id, k, start, length, crc, pid, int(seen[length])))
-                    seen[length] += 1
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        try:
+            for batch in batches:
+                rows = []
+                doc_ids = batch.column(0).to_pylist()
+                for doc_id, tokens in zip(doc_ids, encode.encoded(batch.column(1)), strict=True):
+                    ids = tokens.tobytes() + end
+                    for k, (start, length) in enumerate(cut_points(len(ids) // 4, capacity)):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                        rows.append((doc_id, k, start, length, crc, pid, int(seen[length])))
+                        seen[length] += 1
+                columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        finally:
+            encode.forget()
 
     return docs.select("doc_id", "text").mapInArrow(pieces, _PIECES)
 

@@ -3,7 +3,7 @@
 Byte-level BPE splits a text before it merges, and never across the space before
 a word, so the ids of a text are those of its pieces ``space + word`` one after
 the other. Words come back again and again, and the ids of up to ``MOST`` of
-them are kept per worker. Texts where the split could differ (a space within a
+them are kept per worker, until its task ends: workers live on beside later steps. Texts where the split could differ (a space within a
 run of white space, control characters, special tokens) are encoded whole.
 
 The vocabulary is read from a ``tokenizers`` file, and for single words from the
@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST = 1_000_000
+MOST = 200_000
 AT_ONCE = 1_000
 # A space inside a run of white space, white space beyond ASCII, control characters, special tokens.
 _ODD = (
@@ -72,9 +74,8 @@ class WordTokens:
     def __init__(self, path: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         by_rank = tiktoken.Encoding(
@@ -83,15 +84,25 @@ class WordTokens:
         self.encode = by_rank.encode_ordinary
         self.words = _Words(self.encode)
 
+    @cached_property
+    def tokenizer(self):
+        """Read when the first odd text comes up."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def encoded(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of every text; null is empty."""
-        out: list[np.ndarray] = []
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order and ``AT_ONCE`` texts at a time; null is empty."""
         for a in range(0, len(texts), AT_ONCE):
-            out.extend(self._some(texts.slice(a, AT_ONCE)))
-        return out
+            yield from self._some(texts.slice(a, AT_ONCE))
+
+    def forget(self) -> None:
+        """Drop the words kept and hand back the memory Arrow has spare."""
+        self.words.clear()
+        pa.default_memory_pool().release_unused()
 
     def _some(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -101,10 +112,10 @@ class WordTokens:
         lists = pc.split_pattern(plain, " ")
         starts = np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        if len(self.words) > MOST:
-            self.words.clear()
         distinct = coded.dictionary.to_pylist()
         blocks = [self.words[w] for w in distinct]
+        if len(self.words) > MOST:
+            self.words.clear()
         # The first word of a text has no space before it.
         codes = coded.indices.to_numpy().astype(np.int64)
         firsts = [distinct[c] for c in codes[starts]]

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 from check_queries import canonical
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from minuteflow.llm import mixing, packing, quality
@@ -449,3 +450,52 @@ def slow_near_dedup(old):
                 x, y = sorted((top(a), top(b)))
                 root[y] = x
     return {d for d in ids if root[d] == d}
+
+
+def test_workers_keep_little_of_a_step(spark):
+    """Workers live on beside later steps: the words of the packing's texts are gone by then."""
+    import pyarrow as pa
+
+    word = F.concat(F.lit("w"), F.col("id"), F.lit("x"))
+    docs = spark.range(0, 2_000, 1, 4).select(F.col("id").alias("doc_id"), word.alias("text"))
+    docs = docs.withColumn("text", F.concat_ws(" ", "text", "text", F.lit("end")))
+    assert packing.token_pieces(docs).count() == 2_000
+
+    def held(batches):
+        import tokenizers
+
+        for batch in batches:
+            made = tokenizers.__dict__.get("_word_tokens", {}).values()
+            yield pa.record_batch([pa.array([sum(len(m.words) for m in made)])], ["n"])
+
+    assert spark.range(0, 8, 1, 8).mapInArrow(held, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_texts_are_taken_a_few_at_a_time():
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from minuteflow.llm import common, tokens
+
+    words = tokens.WordTokens.of(P.path(packing.TOKENIZER), P.path(packing.RANKS))
+    words.forget()
+    texts = pa.array([f"a b{i}q" for i in range(3 * tokens.AT_ONCE)], pa.string())
+    got = words.encoded(texts)
+    assert list(next(got)) == list(words.whole("a b0q"))
+    assert len(words.words) <= 2 * tokens.AT_ONCE
+    assert [list(g) for g in got][-1] == list(words.whole(texts[-1].as_py()))
+    words.forget()
+    batch = pa.record_batch([pa.array(range(1_201))], ["n"])
+    parts = list(common.slices(iter([batch, batch.slice(0, 0), batch.slice(3, 2)])))
+    assert [p.num_rows for p in parts] == [500, 500, 201, 2]
+    assert [n for p in parts for n in p.column(0).to_pylist()] == [*range(1_201), 3, 4]
+
+
+def test_small_tables(spark):
+    from minuteflow.llm.common import small_table
+
+    kinds = "s string, n long, x double, r array<struct<shard:int,first:long>>"
+    rows = [("a", 1, 0.5, [(1, 2), (3, 4)]), (None, None, None, []), ("é", 2**40, 1.0, [(0, 0)])]
+    assert small_table(spark, rows, kinds).collect() == spark.createDataFrame(rows, kinds).collect()
+    assert small_table(spark, [], kinds).collect() == []
+    assert small_table(spark, [], kinds).schema == small_table(spark, rows, kinds).schema
