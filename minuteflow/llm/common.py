@@ -117,6 +117,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` in fewer tasks where it has more than four a core; at least one for eight shuffle partitions.
+
+    For tables of small rows. Java starts processes for every file that a task writes to a folder of
+    ``file:``, and each looks as large as the executor for a moment. Not below a function that tells its
+    tasks apart by number: several partitions share a task.
+    """
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(4 * spark.sparkContext.defaultParallelism, partitions // 8))
+
+
 def running_sums(df: DataFrame, order: list[str], sums: list[str], name: str) -> DataFrame:
     """For every row the sums of ``sums`` over all rows before it in ``order``.
 

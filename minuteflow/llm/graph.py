@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from minuteflow.llm.common import kept
+from minuteflow.llm.common import few_tasks, kept
 
 
 def find(parent: dict, x):
@@ -49,7 +49,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     named = links.select(F.col(a).alias("node"), F.col(b).alias("root"))
-    stars = kept(local_union(named), "stars")
+    stars = kept(few_tasks(local_union(named)), "stars")
     before = None
     while True:
         both = stars.unionByName(
@@ -59,13 +59,13 @@ def components(links: DataFrame) -> DataFrame:
         low = F.least("low", "node")
         large = both.join(least, "node").where("root > node")
         large = large.select(F.col("root").alias("node"), low.alias("root"))
-        large = kept(large.where("node != root").distinct(), "large-stars")
+        large = kept(few_tasks(large.where("node != root").distinct()), "large-stars")
         least = large.groupBy("node").agg(F.min("root").alias("low"))
         small = large.join(least, "node")
         small = small.select(F.col("root").alias("node"), F.col("low").alias("root")).unionByName(
             least.select("node", F.col("low").alias("root"))
         )
-        stars = kept(small.where("node != root").distinct(), "small-stars")
+        stars = kept(few_tasks(small.where("node != root").distinct()), "small-stars")
         seen = stars.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)")).alias("h")
         ).first()

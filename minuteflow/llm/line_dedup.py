@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from minuteflow.llm.common import SPACES, arrow_schema, kept, slices, text_bytes
+from minuteflow.llm.common import SPACES, arrow_schema, few_tasks, kept, slices, text_bytes
 MIN_CHARS = 1
 MIN_DOCS = 10
 BATCHES = 4
@@ -58,7 +58,7 @@ class LineIndex:
     def _put(self, level: int, counts: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        run = kept(counts.sortWithinPartitions("line"), f"lines-{level}")
+        run = kept(few_tasks(counts).sortWithinPartitions("line"), f"lines-{level}")
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             parts, self.levels[level] = self.levels[level], []

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from minuteflow.llm.common import (
     arrow_schema,
+    few_tasks,
     kept,
     mixed,
     slices,
@@ -317,7 +318,7 @@ def near_duplicates(
     members = nodes.select("node", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = kept(members.join(shared, "key"), "buckets")
-    pairs = kept(_star_pairs(buckets), "pairs")
+    pairs = kept(few_tasks(_star_pairs(buckets)), "pairs")
     links = confirmed(pairs, nodes, docs, length, percent)
     roots = components(links)
     sketches = nodes.select("node", "sketch", "n", "bands")

@@ -499,3 +499,32 @@ def test_small_tables(spark):
     assert small_table(spark, rows, kinds).collect() == spark.createDataFrame(rows, kinds).collect()
     assert small_table(spark, [], kinds).collect() == []
     assert small_table(spark, [], kinds).schema == small_table(spark, rows, kinds).schema
+
+
+def test_small_rows_go_to_few_files(spark):
+    """However many shuffle partitions there are; what the tables say stays as it is."""
+    from minuteflow.llm import graph, line_dedup
+
+    options = {"shuffle.partitions": "211", "adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in options}
+    for k, v in options.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    try:
+        index = line_dedup.LineIndex(spark, min_docs=2)
+        key = F.unhex(F.md5(F.col("id").cast("string")))
+        lines = spark.range(3_000).select(key.alias("line"), F.lit(1).cast("long").alias("n_docs"))
+        index.add(lines)
+        assert len(index.runs()[0].inputFiles()) <= max(26, 4 * spark.sparkContext.defaultParallelism)
+        index.add(lines.limit(1_000))
+        assert index.runs()[0].count() == 3_000 and index.frequent().count() == 1_000
+        # Chains of ten: 0-1-2..., 10-11-12...
+        node = lambda c: F.encode(F.lpad(c.cast("string"), 5, "0"), "utf-8")
+        pairs = spark.range(2_000).where("id % 10 < 9")
+        pairs = pairs.select(node(F.col("id")).alias("a"), node(F.col("id") + 1).alias("b"))
+        found = graph.components(pairs)
+        assert len(found.inputFiles()) <= max(26, 4 * spark.sparkContext.defaultParallelism)
+        rows = {bytes(r.node): bytes(r.root) for r in found.collect()}
+        assert rows == {b"%05d" % i: b"%05d" % (i - i % 10) for i in range(2_000) if i % 10}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
